@@ -58,6 +58,12 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], out: T
     return df.mapInArrow(run, out)
 
 
+def sampled(docs: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows (all, if there are fewer), chosen by a hash of ``doc_id``; the bound holds at any size."""
+    share = rows / max(1, docs.count())
+    return docs if share >= 1 else docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 class Bounded(dict):
     """A cache of two generations: at ``limit`` entries the young one becomes the old one, what is met again returns."""
 
