@@ -168,8 +168,8 @@ def aligned(a: np.ndarray, b: np.ndarray, width: int) -> int:
 
 
 class Verifier:
-    def __init__(self, similarity: float = SIMILARITY):
-        self.shingler, self.similarity = Shingler(), similarity
+    def __init__(self, similarity: float = SIMILARITY, held: int = 8):
+        self.shingler, self.similarity, self.most = Shingler(), similarity, held
         self.held: OrderedDict[str, tuple] = OrderedDict()
 
     def sequence(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +180,7 @@ class Verifier:
             h = self.shingler.flat([words])[0] if words else np.zeros(0, np.uint64)
             got = h, np.sort(self.shingler.labelled(h, np.zeros(len(h), np.int64)))
             self.held[text] = got
-            if len(self.held) > 8:
+            if len(self.held) > self.most:
                 self.held.popitem(last=False)
         return got
 
@@ -241,6 +241,56 @@ def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY)
     return map_slices(ready, make, schema("a long, b long"), text="others")
 
 
+def _open_pairs(left: list[dict], right: list[dict], key: int, verifier: Verifier) -> list[tuple[int, int]]:
+    """Links between components among the pairs of two blocks whose first common key is ``key``."""
+    kx, ky = (np.asarray([r["keys"] for r in side], np.int64) for side in (left, right))
+    equal = kx[:, None, :] == ky[None, :, :]
+    here = equal.any(2) & (np.take_along_axis(kx, equal.argmax(2), 1) == key)
+    lx, ly = (np.asarray([r["label"] for r in side], np.int64) for side in (left, right))
+    roots: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while roots.get(x, x) != x:
+            x = roots[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(here & (lx[:, None] != ly[None])).tolist():
+        a, b = root(int(lx[i])), root(int(ly[j]))
+        if a != b and verifier.linked(left[i]["text"], right[j]["text"]):
+            roots[max(a, b)] = min(a, b)
+            out.append((int(lx[i]), int(ly[j])))
+    return out
+
+
+def between(placed: DataFrame, held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (``a``, ``b``) between labels: in every bucket of several components, each member outside its largest one is
+    held against all members of others. Members travel in blocks of about ``PARTNERS``, so the rows are pairs of blocks;
+    a pair that meets in several buckets is compared in the first one only, and what a block has joined already is skipped.
+    """
+    by_label = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    by_key = by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    by_key = by_key.select("key", F.col("x.label").alias("largest"), F.ceil(F.col("n") / PARTNERS).alias("all_blocks"), F.ceil((F.col("n") - F.col("x.n")) / PARTNERS).alias("out_blocks"))
+    rows = placed.join(by_key, "key").join(held, "id")
+    one = F.struct("id", "label", "text", "keys")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    right = rows.groupBy("key", block("all_blocks").alias("at")).agg(F.collect_list(one).alias("right"))
+    left = rows.where("label <> largest").groupBy("key", "all_blocks", block("out_blocks").alias("block")).agg(F.collect_list(one).alias("left"))
+    left = left.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)))
+    ready = left.select("key", "at", "left").join(right, ["key", "at"]).select("key", "left", "right")
+
+    def make():
+        verifier = Verifier(similarity, 4 * PARTNERS)
+
+        def work(cols: dict) -> dict:
+            found = [x for key, one, other in zip(cols["key"], cols["left"], cols["right"], strict=True) for x in _open_pairs(one, other, key, verifier)]
+            return {"a": [x[0] for x in found], "b": [x[1] for x in found]}
+
+        return work
+
+    return map_slices(ready, make, schema("a long, b long"), text="right")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``class_id`` and ``representative`` (the one document of its class that a filter would keep)."""
     sketches = stored(sketched(docs), "sketches")
@@ -250,25 +300,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(buckets.join(shared, "key"), "members")  # documents that meet another in a bucket
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
-    held = stored(texts(docs).withColumnRenamed("doc_id", "id").join(weight.select("id"), "id", "left_semi").dropDuplicates(["id"]), "held")
+    met = nodes.select("id", "keys").join(weight.select("id"), "id", "left_semi")
+    held = stored(texts(docs).withColumnRenamed("doc_id", "id").join(met, "id").dropDuplicates(["id"]), "held")
     leaders = members.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x.col2")).alias("a"))
     first = stored(members.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     links = stored(verified(first, held, similarity), "links")
     labels = components(links)
 
     placed = stored(members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "placed")
-    by_label = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("key", F.col("x.label").alias("largest"))
-    open_ = placed.join(largest, "key")
-    outside = open_.where("label <> largest").select("key", F.col("id").alias("a"), F.col("label").alias("la"))
-    others = open_.select("key", F.col("id").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("largest")).alias("main"))
-    more = outside.join(others, "key").where("la <> lb AND (main OR a < b)").select("a", "b", "la", "lb")
-    seen = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-    fresh = more.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).join(seen, ["x", "y"], "left_anti").select("a", "b").distinct()
-    late = verified(stored(fresh, "pairs"), held, similarity)
-    of = lambda side: labels.select(F.col("id").alias(side), F.col("label").alias(f"l{side}"))
-    joint = late.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-    joined = components(joint).select(F.col("label").alias("joined"), F.col("id").alias("label"))
+    late = stored(between(placed, held, similarity), "late")
+    joined = components(late).select(F.col("label").alias("joined"), F.col("id").alias("label"))
 
     whole = nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
     classes = whole.join(joined, "label", "left").select("digest", F.coalesce("joined", "label").alias("class_id"))
