@@ -63,8 +63,10 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate(F.transform("__places", lambda p, i: F.coalesce(F.least(F.lit(5), at("__places", i + 1) - p), F.lit(5))), F.lit(0).cast("long"), lambda a, b: a + b)
     lines = F.filter(F.split(F.col("__t"), "\n"), lambda x: x.rlike(WORD))
     good = F.filter("__lines", lambda x: ~line_fails(x))
-    out = docs.withColumn("__t", t).withColumn("__words", hashed).withColumn("__windows", window).withColumn("__ordered", ordered).withColumn("__places", places)
+    out = docs.withColumn("__t", t).withColumn("__words", hashed).withColumn("__windows", window).withColumn("__ordered", ordered)
     out = out.withColumn("__lines", lines).withColumn("cleaned", F.concat_ws("\n", good))
+    # The row number keeps the optimiser from copying all steps up to here into a later filter on a measure.
+    out = out.withColumn("__places", F.when(F.monotonically_increasing_id() >= 0, places))
     out = out.withColumns(
         {
             "n_words": F.size("__words").cast("long"),
@@ -85,9 +87,7 @@ def clean(docs: DataFrame) -> DataFrame:
     """The documents kept, their failing lines removed, ``n_chars`` (if any) counted anew; the same columns as before."""
     names = [f"__c{k}" for k in range(len(docs.columns))]  # the measures may clash with the table's own names
     place = docs.columns.index("text")
-    # The row number keeps the optimiser from copying the measures' expressions, steps and all, into the filter.
-    out = measured(docs.toDF(*names), names[place]).withColumn("__row", F.monotonically_increasing_id())
-    out = out.where("kept AND __row >= 0").withColumn(names[place], F.col("cleaned"))
+    out = measured(docs.toDF(*names), names[place]).where("kept").withColumn(names[place], F.col("cleaned"))
     if "n_chars" in docs.columns:
         n = docs.columns.index("n_chars")
         out = out.withColumn(names[n], F.length("cleaned").cast(docs.schema["n_chars"].dataType))
