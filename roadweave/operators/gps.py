@@ -87,7 +87,8 @@ def poses(queries: DataFrame, log: DataFrame, columns: tuple[str, ...] = ("x", "
     both = fixes.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType)).unionByName(asked.withColumn("fix", F.lit(None).cast(fixes.schema["fix"].dataType)))
     w = Window.partitionBy("seq").orderBy("at")  # equal instants are one range: a query meets a fix of its own instant
     before = F.last("fix", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first("fix", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy("seq").orderBy(F.desc("at"))  # backwards, as a frame to the end would be gone through for each row
+    after = F.last("fix", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     met = both.withColumns({"p": before, "q": after}).where("row IS NOT NULL")
     p, q = F.coalesce("p", "q"), F.coalesce("q", "p")
     share = F.when(q["t"] > p["t"], (F.col("at") - p["t"]) / (q["t"] - p["t"])).otherwise(0.0)
