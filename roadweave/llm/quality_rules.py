@@ -23,38 +23,43 @@ LOSS = 0.4
 WORD = r"[^\x20\x09-\x0D]"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-BLANKS = " \t\n\x0b\f\r"
 BOILERPLATE = r"(?i)(licensed under|all rights reserved|copyright|cookie|privacy policy|terms of (use|service)|enable javascript|click here|subscribe|sign (in|up)|log ?in|powered by|share this)"
 CLOSED = r"""[.!?:;"'”’»)\]…][\x20\x09-\x0D]*$"""
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _words(line: Column) -> Column:
+    """The words of a line; the plain split at blanks needs no regular expression."""
+    other = r"[\x09\x0B-\x0D]"
+    plain = F.when(line.rlike(other), F.regexp_replace(line, other, " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
-def is_boilerplate(line: Column) -> Column:
-    return line.rlike(BOILERPLATE) & (F.size(F.array_remove(F.split(line, SPACE), "")) <= 20)
+def _count(line: Column, characters: str) -> Column:
+    """Code points of the given class; runs of all others go at once."""
+    return F.length(F.regexp_replace(line, f"[^{characters}]+", ""))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line is removed; a line without a word is neither kept nor lost text."""
-    chars = _without(line, BLANKS)
-    words = F.size(F.array_remove(F.split(line, SPACE), ""))
-    symbols = F.length(line) - _without(line, SYMBOLS)
-    letters, capitals = F.length(F.regexp_replace(line, r"[^\p{L}]", "")), F.length(F.regexp_replace(line, r"[^\p{Lu}]", ""))
-    bars = F.length(line) - _without(line, "|»•·")
-    symbolic = symbols * 10 > chars
-    shouting = (letters >= 10) & (capitals * 2 > letters)
+def _is_boilerplate(x: Column) -> Column:
+    return (x["words"] <= 20) & x["line"].rlike(BOILERPLATE)
+
+
+def _fails(x: Column) -> Column:
+    """Whether a line is removed; a line without a word is neither kept nor lost text. The costly tests come last."""
+    line, words = x["line"], x["words"]
+    letters, capitals = _count(line, r"\p{L}"), _count(line, r"\p{Lu}")
+    bars = _count(line, "|»•·")
+    symbolic = x["symbols"] * 10 > x["chars"]
+    open_ended = (words <= 2) & ~line.rlike(CLOSED)
     navigation = (bars >= 3) & (bars * 4 > words)
-    open_ended = ~line.rlike(CLOSED) & (words <= 2)
-    return symbolic | shouting | navigation | is_boilerplate(line) | open_ended
+    shouting = (capitals > 5) & (letters >= 10) & (capitals * 2 > letters)
+    return symbolic | open_ended | navigation | shouting | x["boilerplate"]
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` and the columns ``n_words`` … ``kept`` and ``cleaned``, in steps so that each array is made once."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     at = lambda a, i: F.get(F.col(a), i)
-    hashed = F.transform(F.array_remove(F.split(F.col("__t"), SPACE), ""), lambda w: F.xxhash64(w))
+    hashed = F.transform(F.flatten("__parts.words"), lambda w: F.xxhash64(w))
     window = F.slice(F.transform("__words", lambda h, i: F.xxhash64(h, at("__words", i + 1), at("__words", i + 2), at("__words", i + 3), at("__words", i + 4))), 1, F.greatest(F.size("__words") - 4, F.lit(0)))
     repeats = F.size(F.array_distinct("__windows")) < F.size("__windows")
     ordered = F.when(repeats, F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -62,25 +67,31 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     places = F.sort_array(F.filter(F.transform("__ordered", lambda x, i: F.when(same(x, i, -1) | same(x, i, 1), x["i"])), lambda p: p.isNotNull()))
     covered = F.aggregate(F.transform("__places", lambda p, i: F.coalesce(F.least(F.lit(5), at("__places", i + 1) - p), F.lit(5))), F.lit(0).cast("long"), lambda a, b: a + b)
     lines = F.filter(F.split(F.col("__t"), "\n"), lambda x: x.rlike(WORD))
-    good = F.filter("__lines", lambda x: ~line_fails(x))
-    out = docs.withColumn("__t", t).withColumn("__words", hashed).withColumn("__windows", window).withColumn("__ordered", ordered)
-    out = out.withColumn("__lines", lines).withColumn("cleaned", F.concat_ws("\n", good))
+    parts = F.transform("__lines", lambda x: F.struct(x.alias("line"), _words(x).alias("words")))
+    counts = lambda p: F.struct(p["line"].alias("line"), F.size(p["words"]).alias("words"), F.length(F.array_join(p["words"], "")).alias("chars"), _count(p["line"], SYMBOLS).alias("symbols"))
+    plated = lambda x: x.withField("boilerplate", _is_boilerplate(x))
+    judged = F.transform(F.transform(F.transform("__parts", counts), plated), lambda x: x.withField("fails", _fails(x)))
+    total = lambda rows, of: F.aggregate(rows, F.lit(0).cast("long"), lambda n, x: n + x[of])
+    good = F.filter("__judged", lambda x: ~x["fails"])
+    out = docs.withColumn("__t", t).withColumn("__lines", lines).withColumn("__parts", parts).withColumn("__judged", judged)
+    out = out.withColumn("__words", hashed).withColumn("__windows", window).withColumn("__ordered", ordered)
     # The row number keeps the optimiser from copying all steps up to here into a later filter on a measure.
     out = out.withColumn("__places", F.when(F.monotonically_increasing_id() >= 0, places))
     out = out.withColumns(
         {
             "n_words": F.size("__words").cast("long"),
-            "word_chars": _without(F.col("__t"), BLANKS).cast("long"),
-            "n_symbols": (F.length("__t") - _without(F.col("__t"), SYMBOLS)).cast("long"),
+            "word_chars": total("__judged", "chars"),
+            "n_symbols": total("__judged", "symbols"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-            "kept_chars": _without(F.col("cleaned"), BLANKS).cast("long"),
-            "boilerplate_chars": _without(F.concat_ws("\n", F.filter("__lines", is_boilerplate)), BLANKS).cast("long"),
+            "cleaned": F.concat_ws("\n", F.transform(good, lambda x: x["line"])),
+            "kept_chars": total(good, "chars"),
+            "boilerplate_chars": total(F.filter("__judged", lambda x: x["boilerplate"]), "chars"),
         }
     )
     out = out.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("kept_chars") > 0) & (F.col("kept_chars") >= (1 - LOSS) * (F.col("word_chars") - F.col("boilerplate_chars"))))
-    return out.drop("__t", "__words", "__windows", "__ordered", "__places", "__lines")
+    return out.drop("__t", "__words", "__windows", "__ordered", "__places", "__lines", "__parts", "__judged")
 
 
 def clean(docs: DataFrame) -> DataFrame:
