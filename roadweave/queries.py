@@ -215,10 +215,10 @@ _STEP = """{{'s': (a.s / greatest(a.vs, 1e-4) + x.s / greatest(x.vs, 1e-4)) / (1
 @query(f"""WITH {sql('obs')}, g AS (SELECT edge_id, class_name, CASE WHEN track_id >= 0 THEN track_id END AS track_id,
 list({{'s': s, 't': t, 'vs': var_s, 'vt': var_t, 'c': conf, 'n': 1, 'ok': false}} ORDER BY k1, k2, k3, k4) AS o FROM obs GROUP BY edge_id, class_name, CASE WHEN track_id >= 0 THEN track_id END, CASE WHEN track_id < 0 THEN (k1, k2, k3, k4) END),
 f AS (SELECT edge_id, class_name, track_id, len(o) AS n, list_reduce(o, lambda a, x: {_STEP.format()}) AS z FROM g)
-SELECT edge_id, class_name, cast(track_id AS bigint) AS track_id, round(z.s, 5) AS s, round(z.t, 5) AS t, round(z.vs, 6) AS var_s, round(z.vt, 6) AS var_t, round(z.c, 6) AS confidence, n AS observation_count, CASE WHEN z.ok OR n >= 5 THEN 'CONFIRMED' ELSE 'CANDIDATE' END AS state FROM f""")
+SELECT edge_id, class_name, cast(track_id AS bigint) AS track_id, round(z.s, 9) AS s, round(z.t, 9) AS t, round(z.vs, 6) AS var_s, round(z.vt, 6) AS var_t, round(z.c, 6) AS confidence, n AS observation_count, CASE WHEN z.ok OR n >= 5 THEN 'CONFIRMED' ELSE 'CANDIDATE' END AS state FROM f""")
 def dedup_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup.level1(adapted(spark, sf_dir, "obs"), ["k1", "k2", "k3", "k4"])
-    return out.select("edge_id", "class_name", F.col("track_id").cast("long").alias("track_id"), F.round("s", 5).alias("s"), F.round("t", 5).alias("t"), r6("var_s"), r6("var_t"), r6("confidence"), "observation_count", "state")
+    return out.select("edge_id", "class_name", F.col("track_id").cast("long").alias("track_id"), F.round("s", 9).alias("s"), F.round("t", 9).alias("t"), r6("var_s"), r6("var_t"), r6("confidence"), "observation_count", "state")
 
 
 _MERGE = f"""WITH {sql('ledger')}, {sql('news')}, p AS (SELECT a.anomaly_id AS o, b.anomaly_id AS w FROM ledger a JOIN news b USING (edge_id, class_name) WHERE {_D2} <= 9.21),
