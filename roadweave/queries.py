@@ -48,7 +48,7 @@ def ground_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 flagship = ground_summary
 
 
-@query(f"""WITH {sql('det')}, {_RAY} SELECT k1, k2, k3, k4, round(xf, 6) AS "X", round(yl, 6) AS "Y", round(reach, 6) AS range_m,
+@query(f"""WITH {sql('det')}, {_RAY} SELECT k1, k2, k3, k4, round(xf, 6) AS "X", CASE WHEN round(yl, 6) = 0 THEN 0.0 ELSE round(yl, 6) END AS "Y", round(reach, 6) AS range_m,
 round(pow(xf * xf / (1.5 * 1380) * 2, 2) + pow(xf * xf / 1.5 * radians(0.5), 2), 6) AS var_xx, round(pow(xf / 1380 * 2, 2), 6) AS var_yy FROM ground""")
 def project_ground(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = detections.projected(adapted(spark, sf_dir, "det")).where("valid")
