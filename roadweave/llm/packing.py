@@ -1,10 +1,12 @@
 """Operator 8: best-fit packing with certified bin counts.
 
-Documents become pieces of at most ``capacity`` tokens. Pieces are dealt into partitions, each is packed by best-fit
-decreasing, and dual feasible functions give a lower bound for its bin count. What a partition could not fill (all bins
-with much room where the bound is not met, the emptiest ones where it is) goes on to the next round, which has a
-sixteenth of the partitions: there the left-over documents of several partitions meet and are packed again. A re-packing
-is never worse than the bins it opens, since the old bins stay if the new count is not lower.
+Documents become pieces of at most ``capacity`` tokens. Pieces are dealt into groups of about ``GROUP``, each is packed by
+best-fit decreasing, and dual feasible functions give a lower bound for its bin count. Bins with more room than ``OPEN`` go
+on to the next round, where they are dealt into groups of ``FAN_IN`` times the size, so that left-over documents of many
+groups meet and are packed again; the old bins stay if the new count is not lower. From then on a group that meets its
+bound is certified and keeps its bins, those with gaps exchange further. Of certified groups, and of all after
+``EXCHANGES`` rounds, only bins under half full go on (about one a group, so a round has a fraction of the last one's
+pieces), until one group is left or ``ROUNDS`` are done. No group grows with the table, also where no length fits another.
 
 Edge cases: null text is empty (one token, the end id); null ids are packed as any other; repeated rows are packed each;
 an empty table gives no rows; other columns are ignored.
@@ -26,9 +28,10 @@ from roadweave.llm.words import END_ID, WordEncoder
 from roadweave.runtime import stored
 
 CAPACITY = 4096
-GROUP = 10_000  # pieces a partition
-FAN_IN = 16  # partitions that meet in one of the next round
+GROUP = 10_000  # pieces a group
+FAN_IN = 16  # first groups' worth of pieces in a group of later rounds
 OPEN = 1 / 64  # of the capacity: bins with more room than this go on
+EXCHANGES, ROUNDS = 3, 16
 PIECES = schema("doc_id long, piece int, start long, length long, ids_crc32 long")
 PACKED = schema("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, settled boolean, certified boolean")
 
@@ -100,43 +103,43 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
     return map_slices(texts(docs), make, PIECES)
 
 
-def pack_group(rows: pd.DataFrame, capacity: int, last: bool) -> pd.DataFrame:
-    """One partition. ``sequence_id`` has its number above 32 bits; rows of bins that go on are not settled."""
-    rows = rows.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
+def pack_group(rows: pd.DataFrame, capacity: int, exchange: bool, last: bool) -> pd.DataFrame:
+    """One group. ``sequence_id`` has its number above 32 bits; rows of bins that go on are not settled."""
+    rows = rows.sort_values(["doc_id", "piece", "length", "ids_crc32"], kind="stable", ignore_index=True)
     bins, offsets, free = best_fit_decreasing(rows["length"].to_numpy(), capacity)
     certified = len(free) == lower_bound(rows["length"].to_numpy(), capacity)
     if "sequence_id" in rows and rows["sequence_id"].nunique() <= len(free):  # the old bins are as good
-        out, room = rows[["sequence_id", "offset"]].copy(), None
+        out = rows[["sequence_id", "offset"]]
         room = capacity - rows.groupby("sequence_id")["length"].transform("sum")
     else:
         out = pd.DataFrame({"sequence_id": rows["stamp"].iloc[0] + bins if len(rows) else bins, "offset": offsets})
         room = pd.Series(free[bins] if len(rows) else bins)
-    settled = last | (room.to_numpy() <= (capacity * OPEN))
+    settled = last | (room.to_numpy() <= (capacity * OPEN if exchange and not (certified and "sequence_id" in rows) else capacity / 2))
     return rows[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(sequence_id=out["sequence_id"].to_numpy(), offset=out["offset"].to_numpy(), settled=settled, certified=certified)
 
 
-def _packer(capacity: int, last: bool):
+def _packer(capacity: int, exchange: bool, last: bool):
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        return pack_group(rows, capacity, last)
+        return pack_group(rows, capacity, exchange, last)
 
     return packed
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """All pieces with ``sequence_id`` and ``offset``; ``pieces`` is read more than once."""
-    spark = pieces.sparkSession
     done, todo, level = [], pieces, 0
-    parts = max(1, -(-pieces.count() // group))
     while True:
-        last = parts == 1
-        key = "sequence_id" if level else None
-        by = F.pmod(F.xxhash64(*([key] if key else ["doc_id", "piece"])), F.lit(parts)).cast("long")
-        dealt = todo.withColumn("dealt", by).withColumn("stamp", F.lit(level).cast("long") * F.lit(1 << 56) + F.col("dealt") * F.lit(1 << 32))
-        got = stored(dealt.groupBy("dealt").applyInPandas(_packer(capacity, last), PACKED), "packed")
+        parts = max(1, -(-todo.count() // (group * FAN_IN if level else group)))
+        last = parts == 1 or level == ROUNDS
+        # Rows are dealt by their places at first, as one id may hold a third of them, then by bins.
+        key = F.xxhash64("sequence_id", F.lit(level)) if level else F.xxhash64(F.monotonically_increasing_id())
+        dealt = todo.withColumn("dealt", F.pmod(key, F.lit(parts)).cast("long"))
+        dealt = dealt.withColumn("stamp", F.lit(level).cast("long") * F.lit(1 << 56) + F.col("dealt") * F.lit(1 << 32))
+        got = stored(dealt.groupBy("dealt").applyInPandas(_packer(capacity, level < EXCHANGES, last), PACKED), "packed")
         done.append(got.where("settled"))
         if last:
             return reduce(DataFrame.unionByName, done).drop("settled")
-        todo, parts, level = got.where("not settled").drop("settled", "certified"), -(-parts // FAN_IN), level + 1
+        todo, level = got.where("not settled").drop("settled", "certified"), level + 1
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

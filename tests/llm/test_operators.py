@@ -283,3 +283,22 @@ def test_pipeline_stages_against_plain_versions(spark, tmp_path):
         text = pii.masked(dict((k, t) for k, t, *_ in rows)[row["doc_id"]])
         ids = ids_of(text, library)
         assert "@" not in text and row["length"] == len(ids) and row["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def test_one_id_with_most_rows_is_spread(spark):
+    """Repeated and null ids fill no task of packing or of the token shards, and no fit's sample."""
+    rows = [(7 if k % 2 else None if k % 3 else k, " ".join(words(20, k))) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pieces = packing.stored(packing.cut(docs), "pieces")
+    out = packing.pack(pieces, capacity=256, group=100).toPandas()
+    lengths = pieces.select("length").toPandas()["length"]
+    assert len(out) == 900 and sorted(out["length"]) == sorted(lengths)
+    filled = out.groupby("sequence_id")["length"].sum()
+    whole = packing.best_fit_decreasing(lengths.to_numpy(), 256)[2]
+    assert filled.max() <= 256 and len(filled) <= 1.1 * len(whole)
+    alone = pieces.withColumn("length", F.lit(150).cast("long")).unionByName(pieces.withColumn("length", F.lit(150).cast("long")))
+    out = packing.pack(alone, capacity=256, group=20).toPandas()  # no two fit, so all rounds have room left
+    assert out["sequence_id"].nunique() == 1800 and out.groupby(out["sequence_id"] // (1 << 32)).size().max() < 450
+    by_part = wavelet.write_shards(docs).groupBy("part").agg(F.sum("n_docs").alias("n")).toPandas()["n"]
+    assert by_part.max() < 450
+    assert len(toxicity._rows(docs)) == len({r[0] for r in rows})
