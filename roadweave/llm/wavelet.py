@@ -149,11 +149,12 @@ class Shard:
 def write_shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row a shard; ``part`` and ``shard`` give the order, ``start`` the ids before it in its part.
 
-    The texts are dealt once, by ranges of ``doc_id``; each task encodes its range in order and closes a shard at
+    The texts are dealt once, by ranges of ``doc_id`` (and of rows within one, as an id may hold a third of them); each task encodes its range in order and closes a shard at
     ``shard_tokens``, so memory holds a slice of texts and one shard (and a document is never cut).
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts(docs).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    placed = texts(docs).withColumn("row", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields, encoder, end = to_arrow_schema(SHARDS), WordEncoder(vocabulary), struct.pack("<I", END_ID)
