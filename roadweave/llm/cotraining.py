@@ -98,7 +98,9 @@ def _vectors(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
         return work
 
-    got = map_slices(rows, make, schema(f"doc_id long, quality int, content {_VECTOR}, meta {_VECTOR}")).toPandas()
+    rows = map_slices(rows, make, schema(f"doc_id long, quality int, content {_VECTOR}, meta {_VECTOR}"))
+    one = F.min(F.struct("quality", "content", "meta")).alias("x")  # one row an id, as one id may hold a third of all rows
+    got = rows.groupBy("doc_id").agg(one).select("doc_id", "x.*").toPandas()
     got = got.sort_values("doc_id", key=lambda ids: ids.map(lambda d: zlib.crc32(str(d).encode())), kind="stable")
     if got.empty:
         return np.zeros((0, len(content("")))), np.zeros((0, 3 * META_BUCKETS)), np.zeros(0)

@@ -59,7 +59,8 @@ def _rows(docs: DataFrame) -> list[np.ndarray]:
 
         return work
 
-    got = map_slices(texts(docs), make, schema("doc_id long, x binary")).toArrow()
+    rows = map_slices(texts(docs), make, schema("doc_id long, x binary"))
+    got = rows.groupBy("doc_id").agg(F.min("x").alias("x")).toArrow()  # one row an id, as one id may hold a third of all rows
     order = np.argsort(np.asarray(got["doc_id"].fill_null(-1)), kind="stable")
     values = got["x"].to_pylist()
     return [np.frombuffer(values[i], "<u4") for i in order]
