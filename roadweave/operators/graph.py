@@ -95,3 +95,10 @@ def segments(edges: DataFrame) -> DataFrame:
         "edge_id", "seg", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"), start.alias("s0"),
         F.hypot(F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")).alias("len"),
     ).where("len > 0")
+
+
+def snapshot(edges: DataFrame) -> DataFrame:
+    """One row: the nodes that edges start or end at, the edges and their length in kilometres."""
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node")).agg(F.count_distinct("node").alias("n_nodes"))
+    size = edges.agg(F.count(F.lit(1)).alias("n_edges"), F.bround(F.sum("length_m") / 1000, 3).alias("total_length_km"))
+    return ends.crossJoin(size)  # one row each

@@ -184,7 +184,7 @@ _FRENET = f"""WITH {sql('obs')}, e AS (SELECT *, k1 * 31 % 360 AS hd, k3 * 17 %
 a AS (SELECT *, hd - br + 180 - 360 * floor((hd - br + 180) / 360) - 180 AS dp FROM e), b AS (SELECT *, cos(radians(dp)) AS c, sin(radians(dp)) AS z FROM a)"""
 
 
-@query(f"""{_FRENET} SELECT k1, k2, k3, k4, round_even(least(greatest(s + xf * c - yl * z, 0), 100), 3) AS s, round_even(t + xf * z + yl * c, 3) AS t, round_even(sqrt(greatest(c * c * var_s + z * z * var_t, 1e-4)), 3) AS sigma_s,
+@query(f"""{_FRENET} SELECT k1, k2, k3, k4, round_even(least(greatest(s + xf * c - yl * z, 0), 100), 3) AS s, round_even(t + xf * z + yl * c, 3) + 0.0 AS t, round_even(sqrt(greatest(c * c * var_s + z * z * var_t, 1e-4)), 3) AS sigma_s,
 round_even(sqrt(greatest(z * z * var_s + c * c * var_t, 1e-4)), 3) AS sigma_t, cast(dp AS double) AS heading_delta_deg FROM b""")
 def frenet_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
@@ -324,6 +324,40 @@ def road_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit.road_rows(_emitted(spark, sf_dir), found).select("edge_id", "length_m", "width_m", "x", "y", r6("hdg"), "n_objects")
 
 
+@query(f"""WITH {sql('fixes')}, d AS (SELECT *, x - lag(x) OVER w AS bx, y - lag(y) OVER w AS by_, timestamp - lag(timestamp) OVER w AS dt, lead(x, 1, x) OVER w - x AS ax, lead(y, 1, y) OVER w - y AS ay FROM fixes WINDOW w AS (PARTITION BY seq ORDER BY timestamp))
+SELECT seq, timestamp, round(coalesce(sqrt(bx * bx + by_ * by_) / CASE WHEN dt <= 1e-4 THEN 0.1 ELSE dt END, 0), 6) AS speed, round(degrees(atan2(ax, ay)) - 360 * floor(degrees(atan2(ax, ay)) / 360), 6) AS heading FROM d""")
+def gps_planar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speed by backward, heading by forward difference of planar places."""
+    return gps.planar_speed_heading(adapted(spark, sf_dir, "fixes")).select("seq", "timestamp", r6("speed"), r6("heading"))
+
+
+@query(f"WITH {sql('drive')} SELECT pass_id, obs FROM (SELECT pass_id, obs, row_number() OVER (PARTITION BY pass_id ORDER BY obs) - 1 AS place FROM drive) WHERE place % 3 = 0 AND place < 60")
+def image_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each third image of a sequence, the first twenty of them (the operator is a limit)."""
+    frames = adapted(spark, sf_dir, "drive").select(F.col("pass_id").alias("sequence_id"), "obs")
+    return detections.every_kth(frames, "obs", 3, 20).select(F.col("sequence_id").alias("pass_id"), "obs")
+
+
+_SEEN = "CASE p_partkey % 4 WHEN 0 THEN 'motorcycle' WHEN 1 THEN 'person' WHEN 2 THEN 'kite' ELSE 'car' END"
+
+
+@query(f"WITH {sql('tags')}, seen AS (SELECT p_partkey, {_SEEN} AS detector_class FROM tags) SELECT p_partkey, CASE detector_class WHEN 'motorcycle' THEN 'two_wheeler' WHEN 'person' THEN 'pedestrian' ELSE 'car' END AS class_name FROM seen WHERE detector_class <> 'kite'")
+def class_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detector classes as local ones, others dropped."""
+    return detections.local_classes(adapted(spark, sf_dir, "tags").withColumn("detector_class", F.expr(_SEEN))).select("p_partkey", "class_name")
+
+
+@query(f"""WITH {sql('grid')}, n AS (SELECT *, CASE WHEN i = 1 AND j = 1 THEN 'traffic_light' ELSE 'priority' END AS type FROM grid)
+SELECT node_id, type, printf('    <node id="%d" x="%.3f" y="%.3f" type="%s"/>', node_id, x, y, type) AS xml FROM n""")
+def node_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return emit.node_xml(adapted(spark, sf_dir, "grid").withColumn("highway", F.expr("CASE WHEN i = 1 AND j = 1 THEN 'traffic_signals' END"))).select("node_id", "type", "xml")
+
+
+@query(f"WITH {_GRID} SELECT count(DISTINCT u) AS n_nodes, count(*) AS n_edges, round(sum(len) / 1000, 3) AS total_length_km FROM edges")
+def graph_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.snapshot(graph.grid_edges(adapted(spark, sf_dir, "grid")))
+
+
 @query()
 def fusion_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole core: detections of eight drives over a grid to a ledger of canonical anomalies."""
