@@ -8,14 +8,17 @@ texts of similarity 0.8 miss each other in all bands with a probability of about
 Candidates are verified by a banded alignment of the two shingle sequences: with ``c`` aligned shingles of ``n`` and
 ``m``, the similarity is ``c / (n + m - c)``, and 0.8 or more is a link. The band is the exact one for that threshold.
 
-Equal word sequences are one node. A bucket's members are first compared with its leader (the member that meets most
+Equal word sequences are one node, numbered apart from ``doc_id``, so different texts of one id are nodes of their own. A bucket's members are first compared with its leader (the member that meets most
 others), which is one pair a member; where that leaves a bucket with several components, every member outside its
 largest is compared with all members of other components. So no link between components is lost, no group of copies is
 expanded into its pairs, and there is no cap. Leaders' texts travel once for about 64 partners.
 
-Result: a row a document, ``class_id`` is the least ``doc_id`` of its component. Edge cases: texts without words (null and
-empty ones too) are copies of each other; a row with a null ``doc_id`` takes no part and has a null ``class_id``; repeated
-rows share their class; an empty table gives no rows; other columns are ignored (``dedup`` keeps them).
+Result: a row a document, ``class_id`` is the least ``doc_id`` of its component. An id with several texts may be the least of
+several components, and one of rows without an id has none: ``class_key`` (the least row's text, as its SHA-256) and
+``class_id`` together are one component's alone, and ``text_key`` tells the rows of one id apart. Edge cases: texts without
+words (null and empty ones too) are copies of each other; rows with a null ``doc_id`` take part, their ``class_id`` is null
+if the whole component has no id; repeated rows share their class; an empty table gives no rows; other columns are ignored
+(``dedup`` keeps them).
 """
 
 from __future__ import annotations
@@ -196,8 +199,13 @@ class Verifier:
         return c >= 0 and enough(c)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the text's SHA-256."""
+    return texts(docs).withColumn("text_key", F.unhex(F.sha2("text", 256)))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id``, a digest of the word sequence and the band keys (none without words)."""
+    """``doc_id``, the text's key, a digest of the word sequence and the band keys (none without words)."""
 
     def make():
         shingler = Shingler()
@@ -209,11 +217,11 @@ def sketched(docs: DataFrame) -> DataFrame:
             if having:
                 for k, row in zip(having, shingler.sketches([lists[k] for k in having]).tolist(), strict=True):
                     keys[k] = row
-            return {"doc_id": cols["doc_id"], "digest": [hashlib.blake2b(" ".join(w).encode(), digest_size=16).digest() for w in lists], "keys": keys}
+            return {"doc_id": cols["doc_id"], "text_key": cols["text_key"], "digest": [hashlib.blake2b(" ".join(w).encode(), digest_size=16).digest() for w in lists], "keys": keys}
 
         return work
 
-    return map_slices(texts(docs), make, schema("doc_id long, digest binary, keys array<long>"))
+    return map_slices(keyed(docs), make, schema("doc_id long, text_key binary, digest binary, keys array<long>"))
 
 
 def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -291,17 +299,19 @@ def between(placed: DataFrame, held: DataFrame, similarity: float = SIMILARITY)
     return map_slices(ready, make, schema("a long, b long"), text="right")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id``, ``class_id`` and ``representative`` (the one document of its class that a filter would keep)."""
+def _grouped(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``text_key`` and ``digest`` of every row, and ``digest`` with its class's least row (``head``)."""
     sketches = stored(sketched(docs), "sketches")
-    with_id = sketches.where("doc_id IS NOT NULL")
-    nodes = stored(with_id.groupBy("digest").agg(F.min(F.struct("doc_id", "keys")).alias("x")).select("digest", F.col("x.doc_id").alias("id"), "x.keys"), "nodes")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "text_key", "keys")).alias("x")
+    nodes = sketches.groupBy("digest").agg(least).select("digest", F.monotonically_increasing_id().alias("id"), "x.lost", "x.doc_id", "x.text_key", "x.keys")
+    nodes = stored(nodes, "nodes")  # which also fixes the numbers
     buckets = nodes.select("id", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(buckets.join(shared, "key"), "members")  # documents that meet another in a bucket
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
-    met = nodes.select("id", "keys").join(weight.select("id"), "id", "left_semi")
-    held = stored(texts(docs).withColumnRenamed("doc_id", "id").join(met, "id").dropDuplicates(["id"]), "held")
+    met = nodes.join(weight.select("id"), "id", "left_semi").select("id", "keys", F.col("doc_id").alias("of"), F.col("text_key").alias("same"))
+    rows = keyed(docs).join(met, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("same")))  # one node a row at most
+    held = stored(rows.select("id", "text", "keys").dropDuplicates(["id"]), "held")
     leaders = members.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x.col2")).alias("a"))
     first = stored(members.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
     links = stored(verified(first, held, similarity), "links")
@@ -311,18 +321,28 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     late = stored(between(placed, held, similarity), "late")
     joined = components(late).select(F.col("label").alias("joined"), F.col("id").alias("label"))
 
-    whole = nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
-    classes = whole.join(joined, "label", "left").select("digest", F.coalesce("joined", "label").alias("class_id"))
-    ids = with_id.select("doc_id", "digest").join(classes, "digest").select("doc_id", "class_id")
-    lost = sketches.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
-    return ids.unionByName(lost).withColumn("representative", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    whole = nodes.drop("keys").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    classes = stored(whole.join(joined, "label", "left").withColumn("class", F.coalesce("joined", "label")).select("digest", "class", "lost", "doc_id", "text_key"), "classes")
+    heads = classes.groupBy("class").agg(F.min(F.struct("lost", "doc_id", "text_key")).alias("head"))
+    return sketches.drop("keys"), classes.select("digest", "class").join(heads, "class").select("digest", "head")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id``, ``class_id``, ``representative`` (the one document of its class that a filter would keep) and the keys."""
+    rows, heads = _grouped(docs, similarity)
+    out = rows.join(heads, "digest").select("doc_id", F.col("head.doc_id").alias("class_id"), "text_key", F.col("head.text_key").alias("class_key"))
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("class_key"))
+    return out.select("doc_id", "class_id", first.alias("representative"), F.lower(F.hex("text_key")).alias("text_key"), F.lower(F.hex("class_key")).alias("class_key"))
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, all columns as they were; rows with a null ``doc_id`` stay."""
-    chosen = near_duplicates(docs, similarity).where("representative AND doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.join(chosen, docs["doc_id"].cast("long") == chosen["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each class, all columns as they were."""
+    chosen = _grouped(docs, similarity)[1].select("head.doc_id", "head.text_key").distinct()
+    names = [f"__c{k}" for k in range(len(docs.columns))]  # the keys may clash with the table's own names
+    own = dict(zip(docs.columns, names, strict=True))
+    rows = docs.toDF(*names).withColumns({"__id": F.col(own["doc_id"]).cast("long"), "__key": F.unhex(F.sha2(F.coalesce(own["text"], F.lit("")), 256))})
+    kept = rows.join(chosen, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__key") == F.col("text_key")), "left_semi")
+    return kept.dropDuplicates(["__id", "__key"]).select(*names).toDF(*docs.columns)
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
