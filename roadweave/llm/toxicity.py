@@ -3,8 +3,10 @@
 Confirmed toxic documents and unlabelled text, each a bounded sample (``FIT_POSITIVE``, ``FIT_UNLABELLED``), give a numpy
 logistic classifier on the presence of words and word beginnings. Its risk is the positives' weighted by the class prior
 plus the unlabelled's less the positives' share of it, which is held at zero or above; the loss is the sigmoid, bounded, so
-that hidden positives cannot drive it below zero by their scores alone. The prior is the toxic share of the labels that may be used. Documents of the held-out fold (crc32 of
-``doc_id`` as text, modulo 5, is 0) give neither labels nor unlabelled text.
+that hidden positives cannot drive it below zero by their scores alone. Features are chosen by their frequency among
+positives against that among negatives, which is the unlabelled one less the positives' share (at least 0), so that a word
+of toxic texts only is chosen however many of the rows are toxic. The prior is the toxic share of the labels that may be
+used. Documents of the held-out fold (crc32 of ``doc_id`` as text, modulo 5, is 0) give neither labels nor unlabelled text.
 
 Edge cases: a null or empty text scores by the bias alone; without confirmed examples all scores are 0; a null label is
 no label, and with several labels for a document any toxic one confirms it; a null ``doc_id`` is not held out; repeated
@@ -26,7 +28,7 @@ from roadweave.llm.common import Bounded, map_slices, sampled, schema, table, te
 FIT_POSITIVE, FIT_UNLABELLED = 3000, 6000
 PREFIXES = (3, 4, 5, 6)
 BITS = 22
-LEAST_Z = 4.0  # of a feature's frequency among positives against unlabelled
+LEAST_Z = 4.0  # of a feature's frequency among positives against negatives
 LEAST_RATIO = 3.0
 MOST_FEATURES = 20_000
 EPOCHS, RATE, RIDGE = 300, 0.1, 1e-3
@@ -73,9 +75,11 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     size = 1 << BITS
     count = lambda rows: np.bincount(np.concatenate(rows), minlength=size)
     p, u = count(positive) / len(positive), count(unlabelled) / len(unlabelled)
-    pooled = (p * len(positive) + u * len(unlabelled)) / (len(positive) + len(unlabelled))
-    z = (p - u) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / len(positive) + 1 / len(unlabelled)))
-    chosen = np.flatnonzero((z > LEAST_Z) & (p * len(positive) >= 3) & (p > LEAST_RATIO * (u + 1 / len(unlabelled))))
+    negatives = (1 - prior) * len(unlabelled)
+    q = np.clip((u - prior * p) / (1 - prior), 0, 1)
+    pooled = (p * len(positive) + q * negatives) / (len(positive) + negatives)
+    z = (p - q) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / len(positive) + 1 / negatives))
+    chosen = np.flatnonzero((z > LEAST_Z) & (p * len(positive) >= 3) & (p > LEAST_RATIO * (q + 1 / negatives)))
     chosen = chosen[np.argsort(-z[chosen], kind="stable")[:MOST_FEATURES]]
     place = np.full(size, -1, np.int64)
     place[chosen] = np.arange(len(chosen))

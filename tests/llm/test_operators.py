@@ -132,6 +132,17 @@ def test_toxicity_learns_and_holds_out(spark, edge):
     assert len(none) == len(EDGE) and all(r.score == 0 for r in none)
 
 
+def test_toxicity_with_copies_in_a_third_of_the_rows(spark):
+    """Toxic rows are half of all, most of them copies of one text; neither its words nor the others' are passed over."""
+    bad = lambda k: k % 2 == 0
+    text = lambda k: "one copied slurword text" if bad(k) and k % 3 else " ".join(words(40, k) + ["badword"] * bad(k))
+    docs = spark.createDataFrame([(k, text(k)) for k in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(bad(k))) for k in range(600) if k % 4 < 2], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    out = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert model[0] and sum(out[k] == bad(k) for k in out) >= 594
+
+
 def test_wavelet_queries_against_the_plain_list():
     r = np.random.default_rng(0)
     ids = np.where(r.random(5000) < 0.5, 7, r.integers(0, 40000, 5000)).astype(np.uint32)
