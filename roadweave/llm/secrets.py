@@ -1,13 +1,14 @@
 """Operator 2: secret scans by grammar inference.
 
-The base patterns find spans in every whole text. Those found in a bounded sample of documents (``FIT_DOCUMENTS``) are the
-labelled credentials: each kind's strings, as sequences of character classes, make a prefix tree whose states are merged
-where their outgoing frequencies are compatible (ALERGIA, a Hoeffding bound), which gives a probabilistic automaton. An
-automaton of ordinary long words gives the background. Every further candidate in every text (a run of 16 or more
+The base patterns find spans in every whole text. Those of all documents are the labelled
+credentials: each kind's distinct strings, as sequences of character classes (``FIT_STRINGS`` at most, by their hash), make
+a prefix tree whose states are merged where their outgoing frequencies are compatible (ALERGIA, a Hoeffding bound), which
+gives a probabilistic automaton. An automaton of ordinary long words (a hash sample of them, but at least one of any slice
+that has one) gives the background; without such words it is uniform over the classes. Every further candidate in every text (a run of 16 or more
 credential characters with a letter and a digit) is scored by its log-likelihood ratio per character and added as kind
 ``inferred`` above ``MARGIN``; base spans always stay. Spans are those of whole matches.
 
-Edge cases: a null or empty text has no spans; without credentials in the sample nothing is inferred; repeated rows give
+Edge cases: a null or empty text has no spans; without credentials nothing is inferred; repeated rows give
 repeated results; an empty table gives no rows; other columns are ignored. Scans are linear in the text.
 """
 
@@ -22,9 +23,9 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadweave.llm.common import map_slices, sampled, schema, table, texts
+from roadweave.llm.common import map_slices, schema, table, texts
+from roadweave.runtime import stored
 
-FIT_DOCUMENTS = 20_000
 FIT_STRINGS = 400  # of each kind
 CONFIDENCE = 0.05  # of the test for merging states
 MARGIN = 1.0  # nats a character
@@ -127,30 +128,38 @@ class Automaton:
         return total + log[at].get("", log[at][None])
 
 
-def fit(docs: DataFrame, documents: int = FIT_DOCUMENTS, strings: int = FIT_STRINGS) -> tuple[list[Automaton], Automaton | None]:
-    """Automata of the kinds that the sample has, and the background's."""
+def fit(docs: DataFrame, strings: int = FIT_STRINGS) -> tuple[list[Automaton], Automaton]:
+    """Automata of the kinds that the documents have, and the background's."""
 
     def make():
         def work(cols: dict) -> dict:
             rows: set[tuple[str, str]] = set()
+            words: set[str] = set()
             for text in cols["text"]:
                 rows.update((KINDS[k], x.translate(_CLASS)) for _, k, _, x in base_spans(text))
-                rows.update(("ordinary", x.translate(_CLASS)) for x in _ORDINARY.findall(text) if zlib.crc32(x.encode()) % 64 == 0)
+                words.update(_ORDINARY.findall(text))
+            crcs = {x: zlib.crc32(x.encode()) for x in words}
+            ordinary = [x for x, c in crcs.items() if c % 64 == 0] or sorted(crcs, key=lambda x: (crcs[x], x))[:1]
+            rows.update(("ordinary", x.translate(_CLASS)) for x in ordinary)
             kinds, found = zip(*rows, strict=True) if rows else ([], [])
             return {"kind": list(kinds), "classes": list(found)}
 
         return work
 
-    rows = map_slices(texts(sampled(docs, documents)), make, schema("kind string, classes string")).distinct()
-    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("classes"), "classes"))
+    rows = stored(map_slices(texts(docs), make, schema("kind string, classes string")).where(F.length("classes") <= 200).distinct(), "credentials")
+    n = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = F.lit(False)  # about four times what is taken, so that no task holds a kind's strings of a large table
+    for kind, count in n.items():
+        few |= (F.col("kind") == kind) & (F.pmod(F.xxhash64("classes"), F.lit(1 << 30)) <= int(min(1.0, 4 * strings / count) * (1 << 30)))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.pmod(F.xxhash64("classes"), F.lit(1 << 30)), "classes"))
     got: dict[str, list[str]] = defaultdict(list)
-    for r in rows.where(F.length("classes") <= 200).withColumn("place", place).where(F.col("place") <= strings).orderBy("kind", "place").collect():
+    for r in rows.where(few).withColumn("place", place).where(F.col("place") <= strings).orderBy("kind", "place").collect():
         got[r["kind"]].append(r["classes"])
     ordinary = got.pop("ordinary", [])
-    return [Automaton(got[k]) for k in sorted(got)], Automaton(ordinary) if ordinary else None
+    return [Automaton(got[k]) for k in sorted(got)], Automaton(ordinary)
 
 
-def scan(docs: DataFrame, models: tuple[list[Automaton], Automaton | None] | None = None) -> DataFrame:
+def scan(docs: DataFrame, models: tuple[list[Automaton], Automaton] | None = None) -> DataFrame:
     """Every document's counts and spans."""
     automata, background = models or fit(docs)
 
@@ -164,8 +173,8 @@ def scan(docs: DataFrame, models: tuple[list[Automaton], Automaton | None] | Non
                 classes = x.translate(_CLASS)
                 if "d" not in classes or not any(c in classes for c in "hlHu"):
                     continue
-                ratio = max((a.score(classes) for a in automata), default=-math.inf) - (background.score(classes) if background else 0)
-                if background and ratio > MARGIN * len(x):
+                ratio = max((a.score(classes) for a in automata), default=-math.inf) - background.score(classes)
+                if ratio > MARGIN * len(x):
                     out.append((m.start(), 3, m.end(), x))
             return out
 

@@ -121,6 +121,21 @@ def test_inferred_grammar_separates_credentials():
     assert good.score(fresh) > ordinary.score(fresh) + 40 and good.score("l" * 20) < ordinary.score("l" * 20)
 
 
+def test_secrets_of_rare_documents_are_inferred(spark):
+    """Credentials in a few of many documents give their automaton, with and without ordinary words for the background."""
+    r = random.Random(3)
+    key = lambda: "".join(r.choice("ghijkl") + r.choice("0123456789") for _ in range(12))
+    ids = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    rare = [x.doc_id for x in ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) > 0.6 * (1 << 30)).orderBy("doc_id").limit(9).collect()]
+    texts = [f"token = {key()}" for _ in rare[1:]] + [f"see {key()} here"]
+    long = next(w for w in ("".join(r.choices("abcdefgh", k=9)) for _ in range(10_000)) if zlib.crc32(w.encode()) % 64 == 0)
+    found = spark.createDataFrame(list(zip(rare, texts, strict=True)), "doc_id long, found string")
+    many = ids.join(F.broadcast(found), "doc_id", "left")
+    for docs in (many.select("doc_id", F.concat(F.lit(f"{long} "), F.coalesce("found", F.lit("x"))).alias("text")), many.select("doc_id", F.coalesce("found", F.lit("short words")).alias("text"))):
+        got = secrets.scan(docs).where("n_inferred > 0").collect()
+        assert [(x.doc_id, x.n_inferred) for x in got] == [(rare[-1], 1)]
+
+
 def test_toxicity_learns_and_holds_out(spark, edge):
     rows = [(k, " ".join(words(40, k) + (["slurword", "badword"] if k % 10 == 0 else []))) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
