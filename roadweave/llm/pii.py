@@ -84,6 +84,17 @@ def _iban_end(text: str) -> int:
     return 0
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Valid account numbers; the search goes on after one, or at the next group if none starts here."""
+    out, m = [], _IBAN.search(text)
+    while m:
+        end = _iban_end(m[0])
+        if end:
+            out.append((m.start(), m.start() + end))
+        m = _IBAN.search(text, m.start() + (end or 1))
+    return out
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
     """``(kind's place, start, end)`` of all valid matches, by kind, then start."""
     found = [(0, a, b) for a, b in emails(text)] if "@" in text else []
@@ -95,7 +106,7 @@ def spans(text: str) -> list[tuple[int, int, int]]:
                 found.append((2, m.start(), m.end()))
     if "+" in text:
         found += [(3, m.start(), m.end()) for m in _PHONE.finditer(text) if 8 <= len(m[0].translate(_DROP)) <= 15]
-    found += [(4, m.start(), m.start() + end) for m in _IBAN.finditer(text) if (end := _iban_end(m[0]))]
+    found += [(4, a, b) for a, b in ibans(text)]
     found += [(5, m.start(), m.end()) for m in _SSN.finditer(text)]
     return found
 

@@ -208,6 +208,13 @@ def test_pii_base_by_plain_patterns():
     assert pii.spans("1" * 100000 + "a@" * 50000) == []
 
 
+def test_pii_lists_of_account_numbers():
+    one, two = "DE89 3704 0044 0532 0130 00", "DE44 5001 0517 5407 3249 31"
+    for text, want in ((f"{one} {two}", [one, two]), (f"NO12 {one}", [one]), (f"XY98 CD34 {two} {one} {two} XY99 end", [two, one, two]), (f"{one}, {two.replace(' ', '')}", [one, two.replace(" ", "")])):
+        assert [text[a:b] for k, a, b in pii.spans(text) if pii.KINDS[k] == "iban"] == want
+    assert pii.masked(f"NO12 {one} {two}.") == "NO12 <IBAN> <IBAN>." and pii.ibans("AB12 " * 20_000) == []
+
+
 def test_pii_edges(spark, edge):
     assert pii.find(edge).count() == len(EDGE) and pii.find(edge.limit(0)).count() == 0
     out = pii.mask(edge)
