@@ -3,7 +3,8 @@
 Each line is judged first: symbols, shouting, navigation bars, boilerplate phrases, missing closing punctuation. Failing
 lines are removed; a document goes if it fails the base rules (fewer than 10 words, or over 20 % of its words in repeated
 five-word windows), has no line left, or loses more than ``LOSS`` of its word characters (lines that are removed as
-boilerplate count neither as text nor as loss). All work stays within a row: no shuffle.
+boilerplate count neither as text nor as loss). ``clean`` is stricter: only the first ``EXEMPT_LINES`` boilerplate lines are
+no loss, and what is left must have ``LEAST_WORDS`` too. All work stays within a row: no shuffle.
 
 Windows are compared by a 64-bit hash within one document, where a false match has a probability of about n**2 / 2**65.
 
@@ -20,6 +21,7 @@ from roadweave.llm.common import table
 
 LEAST_WORDS, MOST_REPEATED = 10, 20  # per cent
 LOSS = 0.4
+EXEMPT_LINES = 2  # of boilerplate, such as a licence, that a document may lose besides
 WORD = r"[^\x20\x09-\x0D]"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -86,6 +88,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
             "cleaned": F.concat_ws("\n", F.transform(good, lambda x: x["line"])),
             "kept_chars": total(good, "chars"),
+            "kept_words": total(good, "words"),
+            "exempt_chars": total(F.slice(F.filter("__judged", lambda x: x["boilerplate"]), 1, EXEMPT_LINES), "chars"),
             "boilerplate_chars": total(F.filter("__judged", lambda x: x["boilerplate"]), "chars"),
         }
     )
@@ -95,10 +99,12 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents kept, their failing lines removed, ``n_chars`` (if any) counted anew; the same columns as before."""
+    """The documents kept that are not mostly boilerplate, their failing lines removed, ``n_chars`` (if any) counted anew;
+    the same columns as before."""
     names = [f"__c{k}" for k in range(len(docs.columns))]  # the measures may clash with the table's own names
     place = docs.columns.index("text")
-    out = measured(docs.toDF(*names), names[place]).where("kept").withColumn(names[place], F.col("cleaned"))
+    whole = (F.col("kept_words") >= LEAST_WORDS) & (F.col("kept_chars") >= (1 - LOSS) * (F.col("word_chars") - F.col("exempt_chars")))
+    out = measured(docs.toDF(*names), names[place]).where(F.col("kept") & whole).withColumn(names[place], F.col("cleaned"))
     if "n_chars" in docs.columns:
         n = docs.columns.index("n_chars")
         out = out.withColumn(names[n], F.length("cleaned").cast(docs.schema["n_chars"].dataType))

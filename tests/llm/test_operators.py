@@ -265,6 +265,14 @@ def test_quality_rules(spark, edge):
     assert got.columns == edge.columns and got.count() == 0 and quality_rules.measured(edge.select("doc_id", "text")).where("base_failed").count() == len(EDGE)
 
 
+def test_clean_drops_pages_of_boilerplate(spark):
+    plates = [f"Please {' '.join(words(4, k))} subscribe {' '.join(words(3, 99 + k))}." for k in range(30)]
+    text = "A clean line of plain words that ends well here. Another one follows it."
+    rows = [(1, "\n".join([*plates, "See you soon."])), (2, "\n".join([*plates[:2], "See you soon."])), (3, "\n".join([*plates, text])), (4, "\n".join([plates[0], text, plates[1]]))]
+    out = quality_rules.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.text) for r in out] == [(4, text)]
+
+
 def test_packing_bounds_and_layout(spark, edge):
     r = np.random.default_rng(7)
     for _ in range(30):
