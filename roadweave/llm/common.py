@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +49,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[di
             yield {c: part.column(c).to_pylist() for c in part.schema.names}
 
 
-def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], out: T.StructType, text: str = "text") -> DataFrame:
+def _give_back() -> None:
+    """Freed memory goes back to the system, as idle workers hold it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], out: T.StructType, text: str = "text", give_back: bool = False) -> DataFrame:
     """``make()`` runs once per task and gives a function from column lists to column lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = to_arrow_schema(out)
@@ -54,10 +65,25 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], out: T
         for cols in slices(batches, text):
             got = work(cols)
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in fields], schema=fields)
+        if give_back:
+            work = cols = got = None
+            _give_back()
 
     return df.mapInArrow(run, out)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 64):
+    """Arrow batches of few rows for what is run meanwhile: rows that hold many texts each fill memory by the default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def sampled(docs: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` rows (all, if there are fewer), chosen by a hash of ``doc_id``; the bound holds at any size."""
     share = rows / max(1, docs.count())

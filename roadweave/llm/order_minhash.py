@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadweave.llm.common import Bounded, map_slices, schema, table, texts
+from roadweave.llm.common import Bounded, map_slices, schema, small_batches, table, texts
 from roadweave.llm.components import components
 from roadweave.runtime import stored
 
@@ -221,7 +221,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_slices(keyed(docs), make, schema("doc_id long, text_key binary, digest binary, keys array<long>"))
+    return map_slices(keyed(docs), make, schema("doc_id long, text_key binary, digest binary, keys array<long>"), give_back=True)
 
 
 def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -246,7 +246,7 @@ def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY)
 
         return work
 
-    return map_slices(ready, make, schema("a long, b long"), text="others")
+    return map_slices(ready, make, schema("a long, b long"), text="others", give_back=True)
 
 
 def _open_pairs(left: list[dict], right: list[dict], key: int, verifier: Verifier) -> list[tuple[int, int]]:
@@ -296,7 +296,7 @@ def between(placed: DataFrame, held: DataFrame, similarity: float = SIMILARITY)
 
         return work
 
-    return map_slices(ready, make, schema("a long, b long"), text="right")
+    return map_slices(ready, make, schema("a long, b long"), text="right", give_back=True)
 
 
 def _grouped(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -314,11 +314,13 @@ def _grouped(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     held = stored(rows.select("id", "text", "keys").dropDuplicates(["id"]), "held")
     leaders = members.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("x")).select("key", (-F.col("x.col2")).alias("a"))
     first = stored(members.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
-    links = stored(verified(first, held, similarity), "links")
+    with small_batches(docs.sparkSession):
+        links = stored(verified(first, held, similarity), "links")
     labels = components(links)
 
     placed = stored(members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "placed")
-    late = stored(between(placed, held, similarity), "late")
+    with small_batches(docs.sparkSession):
+        late = stored(between(placed, held, similarity), "late")
     joined = components(late).select(F.col("label").alias("joined"), F.col("id").alias("label"))
 
     whole = nodes.drop("keys").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
