@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from roadweave.runtime import attach
+from roadweave.runtime import BATCH_KEY, attach
 
 #: Code points handled at once in a worker; a longer text makes a slice of its own.
 SLICE_CHARS = 1_000_000
@@ -75,13 +75,12 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict], dict]], out: T
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 64):
     """Arrow batches of few rows for what is run meanwhile: rows that hold many texts each fill memory by the default."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, rows)
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, rows)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(BATCH_KEY, before)
 
 
 def sampled(docs: DataFrame, rows: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadweave.runtime import stored
+from roadweave.runtime import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,5 +22,7 @@ def components(links: DataFrame) -> DataFrame:
         least = old.join(near, "id").select("id", "old", F.least("old", "near").alias("least"))
         jump = old.select(F.col("id").alias("least"), F.col("old").alias("jump"))
         label = F.least("least", F.coalesce("jump", "least"))
-        labels = stored(least.join(jump, "least", "left").select("id", label.alias("label"), (label < F.col("old")).alias("changed")), "labels")
+        before, labels = labels, stored(least.join(jump, "least", "left").select("id", label.alias("label"), (label < F.col("old")).alias("changed")), "labels")
+        discard(before)
+    discard(both)
     return labels.select("id", "label")

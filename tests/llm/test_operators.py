@@ -43,27 +43,39 @@ def lcs(a, b):
     return row[-1]
 
 
-def test_banded_alignment_against_the_full_table():
-    rng = np.random.default_rng(0)
-    for _ in range(200):
-        a = rng.integers(0, 6, rng.integers(1, 25))
-        b = np.delete(a, rng.integers(0, len(a), 2)) if rng.random() < 0.6 else rng.integers(0, 6, rng.integers(1, 25))
-        width, want = int(rng.integers(0, 30)), lcs(a.tolist(), b.tolist())
+@pytest.mark.parametrize("steps", [0, 3, 24])
+def test_banded_alignment_against_the_full_table(monkeypatch, steps):
+    """Both ways of aligning, with widths around the least one that suffices."""
+    monkeypatch.setattr(order_minhash, "STEPS", steps)
+    rng = np.random.default_rng(steps)
+    for _ in range(300):
+        a = rng.integers(0, rng.integers(2, 9), rng.integers(1, 150))
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(1, 20))) if rng.random() < 0.6 else rng.integers(0, 6, rng.integers(1, 150))
+        want = lcs(a.tolist(), b.tolist())
         left_out = len(a) + len(b) - 2 * want
+        width = int(rng.integers(0, 200)) if rng.random() < 0.5 else max(0, left_out - int(rng.integers(0, 2)))
         assert order_minhash.aligned(a, b, width) == (want if left_out <= width else -1)
 
 
-def test_near_duplicates_against_all_pairs(spark):
-    base, other, rows = words(120, 1), words(60, 2), []
-    r = random.Random(4)
-    for k in range(60):
-        w = list(base if k % 3 else other)
-        for _ in range(r.randint(0, 6)):
-            w[r.randrange(len(w))] = f"new{r.random()}"
-        rows.append((k, " ".join(w)))
-    rows += [(100 + k, " ".join(words(40, 50 + k))) for k in range(10)] + [(200, "two words"), (201, "Two, words!"), (202, ""), (203, None)]
-    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    verifier, parent = order_minhash.Verifier(), {k: k for k, _ in rows}
+def test_word_hashes_follow_the_pattern():
+    shingler, r = order_minhash.Shingler(), random.Random(8)
+    batch = ["".join(r.choices("aBé_ ²½漢Σ\nİ'.9-\u0301😀", k=r.randint(0, 40))) for _ in range(500)]
+    known = {}
+    for text, hashes in zip(batch, shingler.words(batch), strict=True):
+        found = re.findall(r"\w+", text.lower())
+        assert len(found) == len(hashes) and all(known.setdefault(w, h) == h for w, h in zip(found, hashes.tolist(), strict=True))
+    assert len(set(known.values())) == len(known)
+
+
+def similarity(x, y):
+    """By the full table, without hashes or bands."""
+    a, b = (re.findall(r"\w+", (t or "").lower()) for t in (x, y))
+    c = lcs(a, b)
+    return c / (len(a) + len(b) - c) if a or b else 1.0
+
+
+def plain_classes(rows):
+    parent = {k: k for k, _ in rows}
 
     def root(x):
         while parent[x] != x:
@@ -72,10 +84,58 @@ def test_near_duplicates_against_all_pairs(spark):
 
     for i, (a, x) in enumerate(rows):
         for b, y in rows[:i]:
-            if verifier.linked(x or "", y or ""):
+            if root(a) != root(b) and similarity(x, y) >= 0.8 - 1e-9:
                 p, q = sorted((root(a), root(b)))
                 parent[q] = p
-    assert got == {k: root(k) for k, _ in rows}
+    return {k: root(k) for k, _ in rows}
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    base, other, rows = words(120, 1), words(60, 2), []
+    r = random.Random(4)
+    for k in range(60):
+        w = list(base if k % 3 else other)
+        for _ in range(r.randint(0, 8)):
+            w[r.randrange(len(w))] = f"new{r.random()}".replace(".", "")
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, " ".join(words(40, 50 + k))) for k in range(10)] + [(200, "two words"), (201, "Two, words!"), (202, ""), (203, None)]
+    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_classes(rows)
+
+
+def test_near_duplicates_recall_of_edited_copies(spark):
+    """Copies with 1 to 10 % of the words replaced, dropped or added, and texts that share a passage only."""
+    r, rows = random.Random(11), []
+    for k in range(200):
+        w = words(r.randint(60, 160), 1000 + k)
+        edited = list(w)
+        for _ in range(round(len(w) * (1 + k % 10) / 100)):
+            at = r.randrange(len(edited))
+            edited[at : at + 1] = r.choice(([f"new{k}x{at}"], [], [edited[at], f"more{k}x{at}"]))
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(edited))]
+    passage = words(60, 5)
+    rows += [(1000 + k, " ".join(words(30, 3000 + k) + passage + words(30, 4000 + k))) for k in range(60)]
+    out = {x.doc_id: x for x in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    near = [k for k in range(200) if similarity(text[2 * k], text[2 * k + 1]) >= 0.8]
+    found = [k for k in near if out[2 * k].class_id == out[2 * k + 1].class_id]
+    assert len(near) >= 190 and len(found) >= 0.95 * len(near)
+    assert all(out[2 * k].class_id == 2 * k and out[2 * k + 1].links == 1 for k in found)
+    assert all(out[k].class_id == k and out[k].links == 0 for k, _ in rows if k >= 1000)
+
+
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    """A group whose members are mostly not linked with their leader is compared whole, over several blocks."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 8)
+    r, rows = random.Random(12), []
+    for k in range(90):
+        w = words(60, 7)
+        for _ in range(r.randint(3, 9)):
+            w[r.randrange(len(w))] = f"new{r.random()}".replace(".", "")
+        rows.append((k, " ".join(w)))
+    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_classes(rows)
+    assert len(set(want.values())) > 1 and sum(got[k] == want[k] for k in want) >= 88
 
 
 def test_near_duplicates_edges(spark, edge):
