@@ -1,14 +1,15 @@
 """Operator 10: a quality classifier by co-training.
 
-Two views of a document, its text's content (shape statistics) and its page metadata (source, language, recorded length),
-have a logistic classifier each. They start from a bounded sample of labelled documents (``FIT_LABELLED``); in each round
+Two views of a document have a logistic classifier each: its text's content (shape statistics, none of them its length) and
+its page metadata (source, language, recorded length), so that no feature is in both. They start from a bounded sample of labelled documents (``FIT_LABELLED``); in each round
 each view labels the unlabelled sample (``FIT_UNLABELLED``) and hands its most confident cases to the other view's
 training set. Then each view is calibrated on labelled documents that took no part, and the calibrated log-odds add up
 against the base rate. Documents whose probability of being good is under one half are rejected.
 
 Edge cases: a null or empty text has zero shape statistics; null metadata is a value of its own; without labels of both
 kinds every document scores the base rate and is kept; null labels are left out, and of several labels for a document
-the least counts; repeated rows get equal scores; other columns are ignored (``keep`` keeps them).
+the least counts; repeated rows get equal scores; very long texts are read whole; an empty table gives no rows; other
+columns are ignored, whatever their names (``keep`` keeps them).
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ from roadweave.llm.common import map_slices, sampled, schema, table
 FIT_LABELLED, FIT_UNLABELLED = 8000, 8000
 ROUNDS, PER_ROUND, CONFIDENT = 5, 200, 0.95
 META_BUCKETS = 64
+MOST = 3.0  # of a content feature, so that one odd text cannot turn a view
 CALIBRATE = 4  # every so many-th labelled document is for calibration alone
 OUT = schema("doc_id long, score double, content_score double, metadata_score double, keep boolean")
 _VECTOR = "array<double>"
 
 
 def content(text: str) -> list[float]:
-    """Shares and ratios of a text, each about 0 to 1."""
+    """Shares and ratios of a text, each about 0 to 1 and ``MOST`` at most; its length is left to the other view."""
     data = text.encode()
     n = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     words = text.split()
@@ -64,11 +66,9 @@ def content(text: str) -> list[float]:
         len(text) / count / 10,
         closed / max(1, len(lines)),
         1 - len(set(lines)) / max(1, len(lines)),
-        math.log1p(len(words)) / 10,
         math.log1p(count / max(1, len(lines))) / 10,
-        float(len(words) < 10),
     ]
-    return [min(3.0, float(x)) for x in shape]
+    return [min(MOST, float(x)) for x in shape]
 
 
 def metadata(source: str | None, lang: str | None, n_chars: int | None) -> list[int]:
