@@ -49,6 +49,7 @@ ENTRIES, AGREE = 24, 2
 BINS = 256  # classes of words whose counts bound what two texts can have in common
 PARTNERS = 64  # texts that travel with one copy of a leader
 BLOCK = 256  # members of a bucket that travel together
+SALTS = 16
 STEPS = 24  # differences that are looked for along diagonals before whole rows are worked through
 CHUNK = 1 << 15  # k-mers that are sketched at once
 _U = np.uint64
@@ -450,8 +451,11 @@ def _grouped(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     whole = whole.withColumn("label", F.coalesce("label", "id")).join(joined, "label", "left").withColumn("class", F.coalesce("joined", "label"))
     classes = stored(whole.select("digest", "class", "least", "copies", F.coalesce("links", F.lit(0).cast("long")).alias("links")), "classes")
     discard(nodes, members, held, first, links, placed, later, late)
-    heads = classes.groupBy("class").agg(F.min("least").alias("head"))
-    return sketches.select("row", "doc_id", "text_key", "digest"), classes.select("digest", "class", "copies", "links").join(heads, "class").drop("class")
+    # A class may hold a third of all texts, so its head goes to SALTS places; a text that is a class alone is its own head.
+    heads = classes.groupBy("class").agg(F.min("least").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = classes.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int")).join(heads, ["class", "salt"], "left")
+    return sketches.select("row", "doc_id", "text_key", "digest"), salted.select("digest", "copies", "links", F.coalesce("head", "least").alias("head"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
