@@ -14,7 +14,6 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from functools import reduce
 
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadweave.llm.common import map_slices, schema, table, texts
-from roadweave.llm.words import END_ID, WordEncoder
+from roadweave.llm.words import END_ID, encoder
 from roadweave.runtime import stored
 
 CAPACITY = 4096
@@ -86,15 +85,15 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None
     """The pieces of all documents."""
 
     def make():
-        encoder, end = WordEncoder(vocabulary), struct.pack("<I", END_ID)
+        words = encoder(vocabulary)
 
         def work(cols: dict) -> dict:
             out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc_id, text in zip(cols["doc_id"], cols["text"], strict=True):
-                ids = encoder.encode(text) + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    for c, v in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+            for doc_id, found in zip(cols["doc_id"], words.encode_all(cols["text"]), strict=True):
+                ids = np.append(found, END_ID).astype("<u4")
+                for k, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    for c, v in zip(out, (doc_id, k, at, len(part), zlib.crc32(part)), strict=True):
                         out[c].append(v)
             return out
 

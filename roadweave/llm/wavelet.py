@@ -1,13 +1,15 @@
 """Operator 4: token ids in wavelet-matrix shards.
 
-A shard file holds a run of documents in ascending ``doc_id`` order. Layout, little-endian:
+A shard holds a run of documents in ascending ``doc_id`` order and is one value of a Parquet table in the shared folder, so
+that any store works; Parquet's codec compresses it. Layout, little-endian:
 ``WMX1``, documents (u32), tokens (u32), bit planes (u8), document ids (i64 each), document lengths (u32 each), then for
 each plane from the highest bit down: number of zeros (u32), a rank directory (u32 before each block of 2048 bits) and
 the packed bits. Each plane stores one bit a token in the order that stable partitions by the higher bits leave, so
 ``access``, ``rank``, ``select`` and ``occurrences`` work on the file's bytes without decoding it.
 
-Edge cases: a null text is an empty document (one token, the end id); a null ``doc_id`` sorts first and is stored as the
-least 64-bit integer; repeated ids keep any order among themselves; an empty table makes no shard and no row; other
+Edge cases: a null text is an empty document (one token, the end id); a very long text is never cut and may make a shard of
+its own size; a null ``doc_id`` sorts first and is stored as the least 64-bit integer, which no document may have for an id;
+repeated ids keep any order among themselves; an empty table makes no shard and no row; other
 columns are ignored, whatever their names.
 """
 
@@ -25,15 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from roadweave.llm.common import map_slices, schema, slices, table, texts
-from roadweave.llm.words import END_ID, WordEncoder
-from roadweave.runtime import stored
+from roadweave.llm.words import END_ID, encoder
+from roadweave.runtime import discard, stored
 
 SHARD_TOKENS = 1 << 19
 BLOCK = 2048  # bits between two entries of a rank directory
 NULL_ID = -(1 << 63)
 _HEAD = struct.Struct("<4sIIB")
 SHARDS = schema("part int, shard int, start long, n_tokens long, n_docs long, payload binary")
-READ = schema("part int, doc_id long, offset long, n_tokens long, ids_crc32 long")
+READ = schema("part int, doc_id long, offset long, n_tokens long, ids_crc32 long, n_end_ids long")
 
 
 def build(doc_ids: list[int], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -41,16 +43,17 @@ def build(doc_ids: list[int], lengths: list[int], ids: np.ndarray) -> bytes:
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     x = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     out = [_HEAD.pack(b"WMX1", len(doc_ids), len(ids), bits), np.asarray(doc_ids, "<i8").tobytes(), np.asarray(lengths, "<u4").tobytes()]
+    blocks = -(-max(len(x), 1) // BLOCK)
     for b in range(bits - 1, -1, -1):
-        one = (x & x.dtype.type(1 << b)) != 0
+        one = (x >> x.dtype.type(b)).astype(np.uint8) & np.uint8(1)
         packed = np.packbits(one, bitorder="little")
-        padded = np.zeros(-(-max(len(x), 1) // BLOCK) * BLOCK // 8, np.uint8)
+        padded = np.zeros(blocks * BLOCK // 8, np.uint8)
         padded[: len(packed)] = packed
-        ranks = np.zeros(len(padded) * 8 // BLOCK, "<u4")
-        ranks[1:] = np.cumsum(np.bitwise_count(padded.reshape(-1, BLOCK // 8)).sum(1, dtype=np.uint32))[:-1]
-        low, high = x[~one], x[one]
-        out += [struct.pack("<I", len(low)), ranks.tobytes(), padded.tobytes()]
-        x = np.concatenate([low, high])
+        ranks = np.zeros(blocks, "<u4")
+        np.cumsum(np.bitwise_count(padded.view("<u8")).reshape(blocks, -1).sum(1, dtype=np.uint32)[:-1], out=ranks[1:])
+        high = np.flatnonzero(one)
+        out += [struct.pack("<I", len(x) - len(high)), ranks.tobytes(), padded.tobytes()]
+        x = np.concatenate([x[np.flatnonzero(one == 0)], x[high]])
     return b"".join(out)
 
 
@@ -133,69 +136,104 @@ class Shard:
     def occurrences(self, token: int) -> list[int]:
         return [self.select(token, k) for k in range(self.count(token))]
 
+    def _ones_at(self, level: int, places: np.ndarray) -> np.ndarray:
+        """Set bits before each of many positions of a plane."""
+        ranks, plane = np.append(self.ranks[level], self.n - self.zeros[level]).astype(np.int64), self.planes[level].view("<u8")
+        words = np.append(np.cumsum(np.bitwise_count(plane).reshape(len(ranks) - 1, -1), axis=1, dtype=np.int64).ravel(), 0)
+        word, bit = places >> 6, (places & 63).astype(np.uint64)
+        inside = np.where(word % (BLOCK // 64) > 0, words[word - 1], 0)
+        part = np.bitwise_count(np.append(plane, np.uint64(0))[word] & ((np.uint64(1) << bit) - np.uint64(1)))
+        return ranks[places // BLOCK] + inside + part
+
+    def ranks_of(self, token: int, places: np.ndarray) -> np.ndarray:
+        """``rank`` of ``token`` at many positions at once."""
+        if token >= 1 << self.bits or not self.n:
+            return np.zeros(len(places), np.int64)
+        at = np.append(places, 0).astype(np.int64)  # the last one is the range's start
+        for level in range(self.bits):
+            ones = self._ones_at(level, at)
+            at = self.zeros[level] + ones if token >> (self.bits - 1 - level) & 1 else at - ones
+        return at[:-1] - at[-1]
+
     def decode(self) -> np.ndarray:
         """All tokens, by undoing the partitions from the last plane up."""
         kind = np.uint16 if self.bits <= 16 else np.uint32
         x = np.zeros(self.n, kind)
         for level in range(self.bits - 1, -1, -1):
-            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
             z, up = self.zeros[level], np.empty(self.n, kind)
-            up[~one] = x[:z]
-            up[one] = x[z:] | kind(1 << (self.bits - 1 - level))
+            up[np.flatnonzero(one == 0)] = x[:z]
+            up[np.flatnonzero(one)] = x[z:] | kind(1 << (self.bits - 1 - level))
             x = up
         return x
 
 
-def write_shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """One row a shard; ``part`` and ``shard`` give the order, ``start`` the ids before it in its part.
+def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``doc_id``, ``row`` (its place in the table) and the ids with the end id, in the narrowest type that holds them."""
+
+    def make():
+        words = encoder(vocabulary)
+
+        def work(cols: dict) -> dict:
+            ids = [np.append(x, END_ID).astype(words.width).tobytes() for x in words.encode_all(cols["text"])]
+            return {"doc_id": cols["doc_id"], "row": cols["row"], "ids": ids}
+
+        return work
+
+    return map_slices(texts(docs, F.monotonically_increasing_id().alias("row")), make, schema("doc_id long, row long, ids binary"))
+
+
+def write_shards(ids: DataFrame, vocabulary: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """One row a shard, from the rows of ``encoded``; ``part`` and ``shard`` give the order, ``start`` the ids before it in
+    its part.
 
-    The texts are dealt once, by ranges of ``doc_id`` (and of rows within one, as an id may hold a third of them); each task encodes its range in order and closes a shard at
-    ``shard_tokens``, so memory holds a slice of texts and one shard (and a document is never cut).
+    Ids, not texts, are dealt once, by ranges of ``doc_id`` (and of rows within one, as an id may hold a third of them); each
+    task takes its range in order and closes a shard at ``shard_tokens``, so memory holds one shard (a document is never cut,
+    so that a longer one makes a shard of its size).
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = texts(docs).withColumn("row", F.monotonically_increasing_id())
-    dealt = placed.repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ids.repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row").drop("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields, encoder, end = to_arrow_schema(SHARDS), WordEncoder(vocabulary), struct.pack("<I", END_ID)
+        fields, width = to_arrow_schema(SHARDS), np.dtype(encoder(vocabulary).width)
         part, shard, start = TaskContext.get().partitionId(), 0, 0
-        ids, parts, held = [], [], 0
+        names, parts, held = [], [], 0
 
         def closed() -> pa.RecordBatch:
-            x = np.frombuffer(b"".join(parts), "<u4")
-            row = [part, shard, start, len(x), len(ids), build(ids, [len(p) // 4 for p in parts], x)]
+            x = np.frombuffer(b"".join(parts), width)
+            row = [part, shard, start, len(x), len(names), build(names, [len(p) // width.itemsize for p in parts], x)]
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, fields, strict=True)], schema=fields)
 
-        for cols in slices(batches):
-            for doc_id, text in zip(cols["doc_id"], cols["text"], strict=True):
-                ids.append(NULL_ID if doc_id is None else doc_id)
-                parts.append(encoder.encode(text) + end)
-                held += len(parts[-1]) // 4
+        for cols in slices(batches, "ids"):
+            for doc_id, data in zip(cols["doc_id"], cols["ids"], strict=True):
+                names.append(NULL_ID if doc_id is None else doc_id)
+                parts.append(data)
+                held += len(data) // width.itemsize
                 if held >= shard_tokens:
                     yield closed()
                     shard, start, held = shard + 1, start + held, 0
-                    ids, parts = [], []
-        if ids:
+                    names, parts = [], []
+        if names:
             yield closed()
 
     return dealt.mapInArrow(run, SHARDS)
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """A row a document, from the shards' bytes: place in its part, length and checksum of its ids."""
+    """A row a document, from the shards' bytes: place in its part, length, checksum of its ids, and how often the end id is
+    among them (1 unless the text itself names it), by ``rank`` at the document's ends."""
 
     def make():
         def work(cols: dict) -> dict:
             out: dict[str, list] = {f: [] for f in READ.names}
             for part, start, payload in zip(cols["part"], cols["start"], cols["payload"], strict=True):
                 shard = Shard(payload)
-                ids, ends = memoryview(shard.decode().astype("<u4").tobytes()), np.cumsum(shard.lengths, dtype=np.int64)
-                for doc_id, n, end in zip(shard.doc_ids.tolist(), shard.lengths.tolist(), ends.tolist(), strict=True):
-                    out["part"].append(part)
-                    out["doc_id"].append(None if doc_id == NULL_ID else doc_id)
-                    out["offset"].append(start + end - n)
-                    out["n_tokens"].append(n)
-                    out["ids_crc32"].append(zlib.crc32(ids[4 * (end - n) : 4 * end]))
+                ids, ends = shard.decode(), np.cumsum(shard.lengths, dtype=np.int64)
+                stops = np.diff(shard.ranks_of(END_ID, np.concatenate([[0], ends])))
+                for doc_id, n, end, stop in zip(shard.doc_ids.tolist(), shard.lengths.tolist(), ends.tolist(), stops.tolist(), strict=True):
+                    row = (part, None if doc_id == NULL_ID else doc_id, start + end - n, n, zlib.crc32(ids[end - n : end].astype("<u4")), stop)
+                    for f, v in zip(out, row, strict=True):
+                        out[f].append(v)
             return out
 
         return work
@@ -208,11 +246,13 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None)
 
     A part's total is one row; their running sum has as many rows as the shuffle has partitions.
     """
-    shards = stored(write_shards(docs, vocabulary), "wavelet")
+    ids = stored(encoded(docs, vocabulary), "ids")
+    shards = stored(write_shards(ids, vocabulary), "wavelet")
+    discard(ids)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     read = read_shards(shards).join(parts, "part")
-    return read.select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
+    return read.select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "n_end_ids")
 
 
 def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
