@@ -42,19 +42,21 @@ class Rig:
         return yaw @ pitch @ roll @ axes
 
 
-def ground(u: Column, v: Column, rig: Rig) -> dict[str, Column]:
-    """``X``, ``Y``, ``range_m``, variances and ``valid``; all but ``valid`` are null where the ray is not valid."""
-    right, down = (u - rig.cx) / rig.fx, (v - rig.cy) / rig.fy
+def ground_steps(u: Column, v: Column, rig: Rig) -> list[dict[str, Column]]:
+    """``X``, ``Y``, ``range_m``, variances and ``valid`` in steps, each of names that the next ones read, so that nothing is
+    written out twice; all but ``valid`` are null where the ray is not valid. Names with ``__`` are for the steps only."""
+    c = F.col
     m = rig.rotation.tolist()
-    dx, dy, dz = (right * row[0] + down * row[1] + row[2] for row in m)
-    scale = -rig.height_m / F.when(dz < -1e-4, dz)
-    x, y = scale * dx, scale * dy
-    reach = F.sqrt(x * x + y * y)
-    valid = F.coalesce((reach >= rig.min_range_m) & (reach <= rig.max_range_m) & (x > 0), F.lit(False))
+    ray = {f"__d{k}": (u - rig.cx) / rig.fx * row[0] + (v - rig.cy) / rig.fy * row[1] + row[2] for k, row in zip("xyz", m, strict=True)}
+    scale = {"__k": -rig.height_m / F.when(c("__dz") < -1e-4, c("__dz"))}
+    place = {"__x": c("__k") * c("__dx"), "__y": c("__k") * c("__dy")}
+    reach = {"__r": F.sqrt(c("__x") * c("__x") + c("__y") * c("__y"))}
+    valid = {"valid": F.coalesce((c("__r") >= rig.min_range_m) & (c("__r") <= rig.max_range_m) & (c("__x") > 0), F.lit(False))}
+    x = c("__x")
     pixel, tilt = x * x / (rig.height_m * rig.fy) * rig.sigma_v_px, x * x / rig.height_m * math.radians(rig.sigma_pitch_deg)
     side = x / rig.fx * rig.sigma_v_px
-    out = {"X": x, "Y": y, "range_m": reach, "var_xx": pixel * pixel + tilt * tilt, "var_yy": side * side, "cov_xy": F.lit(0.0)}
-    return {k: F.when(valid, c) for k, c in out.items()} | {"valid": valid}
+    out = {"X": x, "Y": c("__y"), "range_m": c("__r"), "var_xx": pixel * pixel + tilt * tilt, "var_yy": side * side, "cov_xy": F.lit(0.0)}
+    return [ray, scale, place, reach, valid, {k: F.when(c("valid"), e) for k, e in out.items()}]
 
 
 def pixel(x: Column, y: Column, rig: Rig) -> tuple[Column, Column]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadweave.functions.camera import Rig, ground
+from roadweave.functions.camera import Rig, ground_steps
 
+# The classes of detections, and the detector's names for them.
 STATIC_CLASSES = ("pothole", "speed_breaker", "barrier", "barricade", "parked_vehicle_obstruction")
 DYNAMIC_CLASSES = ("two_wheeler", "auto_rickshaw", "car", "bus", "truck", "bicycle", "cycle_rickshaw", "pedestrian", "stray_animal")
 DETECTOR_CLASSES = {"motorcycle": "two_wheeler", "bicycle": "bicycle", "car": "car", "bus": "bus", "truck": "truck", "person": "pedestrian"}
@@ -48,8 +49,16 @@ def contact(detections: DataFrame) -> DataFrame:
 
 
 def projected(detections: DataFrame, rig: Rig | None = None) -> DataFrame:
-    """Ground coordinates; filter on ``valid``."""
-    return detections.withColumns(ground(F.col("u"), F.col("v"), rig or Rig()))
+    """Ground coordinates; filter on ``valid``.
+
+    The row number keeps the optimiser from writing all steps out again, many times over, in a later filter.
+    """
+    steps = ground_steps(F.col("u"), F.col("v"), rig or Rig())
+    for step in steps:
+        if "valid" in step and not detections.isStreaming:
+            step["valid"] = F.when(F.monotonically_increasing_id() >= 0, step["valid"])
+        detections = detections.withColumns(step)
+    return detections.drop(*(c for step in steps for c in step if c.startswith("__")))
 
 
 def local_classes(found: DataFrame, column: str = "detector_class") -> DataFrame:
