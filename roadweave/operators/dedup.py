@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadweave.functions.frenet import LEAST_VARIANCE, mahalanobis2
+from roadweave.runtime import stored
 
 GATE = 9.21  # chi-squared, two degrees of freedom, 99 %
 STATE = "struct<s:double,t:double,var_s:double,var_t:double,conf:double,n:bigint,confirmed:boolean>"
@@ -83,23 +84,48 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
 
 
 def gated_pairs(existing: DataFrame, new: DataFrame, gate: float = GATE) -> DataFrame:
-    """Pairs of one edge and class within the gate."""
-    a, b = existing.alias("a"), new.alias("b")
+    """Pairs of one edge and class within the gate.
+
+    They meet in cells of ``s`` as wide as the gate lets two places be apart, at the greatest variances that occur.
+    """
+    most = lambda df: F.coalesce(F.max(F.greatest("var_s", F.lit(LEAST_VARIANCE))), F.lit(LEAST_VARIANCE))
+    wide = existing.agg(most(existing).alias("a")).crossJoin(new.agg(most(new).alias("b")))  # one row each
+    wide = F.broadcast(wide.select(F.sqrt(gate * (F.col("a") + F.col("b"))).alias("__wide")))
+    cell = F.floor(F.col("s") / F.col("__wide"))
+    a = existing.crossJoin(wide).withColumn("__cell", cell).alias("a")
+    b = new.crossJoin(wide).withColumn("__cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("b")
     d2 = mahalanobis2(*(F.col(f"a.{c}") for c in ("s", "t", "var_s", "var_t")), *(F.col(f"b.{c}") for c in ("s", "t", "var_s", "var_t")))
-    met = a.join(b, (F.col("a.edge_id") == F.col("b.edge_id")) & (F.col("a.class_name") == F.col("b.class_name")))
+    met = a.join(b, (F.col("a.edge_id") == F.col("b.edge_id")) & (F.col("a.class_name") == F.col("b.class_name")) & (F.col("a.__cell") == F.col("b.__cell")))
     return met.select(F.col("a.edge_id").alias("edge_id"), F.col("a.class_name").alias("class_name"), F.col("a.anomaly_id").alias("old_id"), F.col("b.anomaly_id").alias("new_id"), d2.alias("d2")).where(F.col("d2") <= gate)
 
 
 def _assigned(group: pd.DataFrame) -> pd.DataFrame:
-    olds, news = sorted(group["old_id"].unique()), sorted(group["new_id"].unique())
-    cost = np.full((len(olds), len(news)), np.inf)
-    cost[np.searchsorted(olds, group["old_id"]), np.searchsorted(news, group["new_id"])] = group["d2"]
-    return pd.DataFrame([(olds[a], news[b]) for a, b in assign(cost)], columns=["old_id", "new_id"])
+    """Pairs of one edge and class: sets of anomalies that no pair connects are solved apart, so no table is larger than one."""
+    old, new = (pd.factorize(group[c])[0] for c in ("old_id", "new_id"))
+    new = new + len(group)
+    parent = list(range(2 * len(group)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(old.tolist(), new.tolist(), strict=True):
+        parent[root(a)] = root(b)
+    out: list[tuple[str, str]] = []
+    for _, some in group.groupby(np.array([root(a) for a in old.tolist()]), sort=False):
+        olds, news = sorted(some["old_id"].unique()), sorted(some["new_id"].unique())
+        cost = np.full((len(olds), len(news)), np.inf)
+        cost[np.searchsorted(olds, some["old_id"]), np.searchsorted(news, some["new_id"])] = some["d2"]
+        out += [(olds[a], news[b]) for a, b in (assign(cost) if cost.size > 1 else [(0, 0)])]
+    return pd.DataFrame(out, columns=["old_id", "new_id"])
 
 
 def level2(existing: DataFrame, new: DataFrame, gate: float = GATE) -> DataFrame:
-    """The ledger after a pass: assigned anomalies take one update, all others stay or join."""
-    pairs = gated_pairs(existing, new, gate).groupBy("edge_id", "class_name").applyInPandas(_assigned, "old_id string, new_id string")
+    """The ledger after a pass: assigned anomalies take one update, all others stay or join. The assignment is stored, as both
+    sides of the result read it."""
+    pairs = stored(gated_pairs(existing, new, gate).groupBy("edge_id", "class_name").applyInPandas(_assigned, "old_id string, new_id string"), "assigned")
     columns = ["anomaly_id", "edge_id", "class_name", "s", "t", "var_s", "var_t", "confidence", "observation_count", "state"]
     seen = new.select(F.col("anomaly_id").alias("new_id"), F.struct("s", "t", "var_s", "var_t", F.col("confidence").alias("conf")).alias("seen"))
     kept = existing.select(*columns).join(pairs, F.col("anomaly_id") == F.col("old_id"), "left").join(seen, "new_id", "left")
