@@ -86,15 +86,48 @@ def largest_component(edges: DataFrame) -> DataFrame:
     return edges.join(kept, "u", "left_semi")
 
 
+LEAST_LINE = 0.1  # metres; shorter lines are not matched
+TANGENT = 1.0  # metres to either side of a place, between which its bearing is taken
+
+
+def measured_line(geometry: Column) -> Column:
+    """The points of a line with their place ``c`` along it."""
+    empty = F.array().cast("array<struct<c:double,x:double,y:double>>")
+    place = lambda done, p: F.coalesce(F.element_at(done, -1)["c"] + F.hypot(p["x"] - F.element_at(done, -1)["x"], p["y"] - F.element_at(done, -1)["y"]), F.lit(0.0))
+    step = lambda done, p: F.when(F.size(done) == 0, F.array(F.struct(F.lit(0.0).alias("c"), p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))).otherwise(
+        F.concat(done, F.array(F.struct(place(done, p).alias("c"), p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"))))
+    )
+    return F.aggregate(geometry, empty, step)
+
+
+def point_at(line: Column, s: Column) -> Column:
+    """The point at place ``s`` of a measured line."""
+    before = F.greatest(F.least(F.size(F.filter(line, lambda p: p["c"] <= s)), F.size(line) - 1), F.lit(1))
+    p, q = F.get(line, before - 1), F.get(line, before)
+    f = F.least(F.greatest(F.coalesce((s - p["c"]) / F.nullif(q["c"] - p["c"], F.lit(0.0)), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    return F.struct((p["x"] + f * (q["x"] - p["x"])).alias("x"), (p["y"] + f * (q["y"] - p["y"])).alias("y"))
+
+
+def bearing_at(line: Column, s: Column) -> Column:
+    """Degrees from north between the points ``TANGENT`` metres before and after ``s``, the line's ends at most."""
+    p = point_at(line, F.greatest(s - TANGENT, F.get(line, 0)["c"]))
+    q = point_at(line, F.least(s + TANGENT, F.element_at(line, -1)["c"]))
+    return F.pmod(F.degrees(F.atan2(q["x"] - p["x"], q["y"] - p["y"])), F.lit(360.0))
+
+
 def segments(edges: DataFrame) -> DataFrame:
-    """A row a straight piece: ``edge_id``, ``seg``, ends, place of its start along the edge, length, bearing."""
-    points = edges.select("edge_id", "geometry", F.posexplode("geometry").alias("seg", "a"))
-    points = points.withColumn("b", F.get("geometry", F.col("seg") + 1)).where("b IS NOT NULL")
-    start = polyline_length(F.slice("geometry", 1, F.col("seg") + 1))
+    """A row a straight piece: ``edge_id``, ``seg``, ends, place of its start along the edge, length, and ``around``: the
+    points of the line that a bearing within the piece may need, with their places."""
+    lines = edges.select("edge_id", measured_line(F.col("geometry")).alias("line"))
+    lines = lines.where((F.size("line") > 1) & (F.element_at("line", -1)["c"] >= LEAST_LINE))
+    points = lines.select("edge_id", "line", F.posexplode("line").alias("seg", "a"))
+    points = points.withColumn("b", F.get("line", F.col("seg") + 1)).where("b IS NOT NULL AND b.c > a.c")
+    low = F.greatest(F.size(F.filter("line", lambda p: p["c"] <= F.col("a.c") - TANGENT)), F.lit(1))
+    high = F.least(F.size("line") - F.size(F.filter("line", lambda p: p["c"] >= F.col("b.c") + TANGENT)) + 1, F.size("line"))
     return points.select(
-        "edge_id", "seg", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"), start.alias("s0"),
-        F.hypot(F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")).alias("len"),
-    ).where("len > 0")
+        "edge_id", "seg", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"), F.col("a.c").alias("s0"),
+        (F.col("b.c") - F.col("a.c")).alias("len"), F.slice("line", low, high - low + 1).alias("around"),
+    )
 
 
 def snapshot(edges: DataFrame) -> DataFrame:

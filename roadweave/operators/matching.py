@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,8 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions.scalar import wrap_degrees
+from roadweave.operators.graph import bearing_at
 
 RADIUS, SIGMA, BETA, MOST_TURN, BEST = 35.0, 5.0, 10.0, 100.0, 8
+CHUNK = 4096  # poses that are decoded at once
 PIECE = 35.0  # metres of a segment that are put into cells at once
 
 
@@ -35,13 +36,14 @@ def candidates(poses: DataFrame, segments: DataFrame, gated: bool = True, radius
     f = F.least(F.greatest(((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy) / (F.col("len") * F.col("len")), F.lit(0.0)), F.lit(1.0))
     met = met.withColumn("f", f).withColumns({"fx": F.col("ax") + F.col("f") * dx, "fy": F.col("ay") + F.col("f") * dy})
     met = met.withColumn("d", F.hypot(F.col("x") - F.col("fx"), F.col("y") - F.col("fy"))).where(F.col("d") <= radius)
-    bearing = F.pmod(F.degrees(F.atan2(dx, dy)), F.lit(360.0))
-    left = (F.col("y") - F.col("fy")) * F.sin(F.radians(bearing)) - (F.col("x") - F.col("fx")) * F.cos(F.radians(bearing))
-    best = F.min(F.struct("d", "seg", (F.col("s0") + F.col("f") * F.col("len")).alias("s"), left.alias("t"), bearing.alias("bearing"))).alias("c")
-    per_edge = met.groupBy("obs", "edge_id", "x", "y", "heading").agg(best)
-    away = F.abs(wrap_degrees(F.col("heading") - F.col("c.bearing"))) > MOST_TURN
+    best = F.min(F.struct("d", "seg", (F.col("s0") + F.col("f") * F.col("len")).alias("s"), "fx", "fy", "around")).alias("c")
+    # One exchange by ``obs`` serves the fold over edges, the gate and the ranks.
+    per_edge = met.repartition("obs").groupBy("obs", "edge_id", "x", "y", "heading").agg(best).withColumn("bearing", bearing_at(F.col("c.around"), F.col("c.s")))
+    slope = F.radians("bearing")
+    left = (F.col("y") - F.col("c.fy")) * F.sin(slope) - (F.col("x") - F.col("c.fx")) * F.cos(slope)
+    away = F.abs(wrap_degrees(F.col("heading") - F.col("bearing"))) > MOST_TURN
     emission = F.lit(-0.5 * math.log(2 * math.pi * SIGMA * SIGMA)) - F.col("c.d") ** 2 / (2 * SIGMA * SIGMA)
-    scored = per_edge.select("obs", "edge_id", "x", "y", "heading", F.col("c.s").alias("s"), F.col("c.t").alias("t"), F.col("c.d").alias("d"), F.col("c.bearing").alias("bearing"), emission.alias("emission"), F.coalesce(away, F.lit(False)).alias("away"))
+    scored = per_edge.select("obs", "edge_id", "x", "y", "heading", F.col("c.s").alias("s"), left.alias("t"), F.col("c.d").alias("d"), "bearing", emission.alias("emission"), F.coalesce(away, F.lit(False)).alias("away"))
     if gated:
         facing = F.max(~F.col("away")).over(Window.partitionBy("obs"))
         scored = scored.withColumn("facing", facing).where("NOT away OR NOT facing").drop("facing")
@@ -58,7 +60,12 @@ def decode(steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, float, float]])
         return [None] * len(steps)
     edges, places, score, x, y = steps[0]
     back: list[np.ndarray] = [np.zeros(len(edges), int)]
+    alone = np.zeros(1, int)
     for e, s, emission, nx, ny in steps[1:]:
+        if len(e) == 1 and len(edges) == 1:  # one path, whose score no longer tells anything
+            back.append(alone)
+            edges, places, score, x, y = e, s, emission, nx, ny
+            continue
         if not len(e):
             back.append(np.arange(len(edges)))
             x, y = nx, ny
@@ -80,14 +87,20 @@ def decode(steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, float, float]])
 def matched(poses: DataFrame, found: DataFrame) -> DataFrame:
     """The candidate that the most likely path of each ``pass_id`` takes at each pose, in order of ``obs``.
 
-    A pass is decoded by one task, for the path of a step needs all before it; passes run in parallel. Poses of steps
-    that took over candidates get those of the last step that had its own.
+    Every path goes through a pose with a single candidate, so a pass is cut there, into pieces of ``CHUNK`` poses or somewhat
+    more, which are decoded apart; a piece ends with the pose that the next one starts with. Poses of steps that took over
+    candidates get those of the last step that had its own.
     """
     held = found.groupBy("obs").agg(F.sort_array(F.collect_list(F.struct("rank", "edge_id", "s", "t", "bearing", "emission"))).alias("c"))
-    rows = poses.select("pass_id", "obs", "x", "y").join(held, "obs", "left")
+    order = Window.partitionBy("pass_id").orderBy("obs")
+    rows = poses.select("pass_id", "obs", "x", "y").join(held, "obs", "left").withColumn("place", F.row_number().over(order) - 1)
+    settled = F.max(F.when(F.size("c") == 1, F.col("place"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("chunk", F.floor(F.coalesce(settled, F.lit(0)) / CHUNK)).withColumn("before", F.lag("chunk").over(order))
+    rows = rows.withColumn("chunk", F.explode(F.when(F.col("before") < F.col("chunk"), F.array("chunk", "before")).otherwise(F.array("chunk"))))
+    rows = rows.select("pass_id", "chunk", "obs", "x", "y", "c")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group = pd.concat(list(batches)).sort_values("obs", ignore_index=True)
+    def whole(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("obs", ignore_index=True)
         codes: dict[str, int] = {}
         steps, own, last = [], [], None
         for c, x, y in zip(group["c"], group["x"], group["y"], strict=True):
@@ -97,11 +110,7 @@ def matched(poses: DataFrame, found: DataFrame) -> DataFrame:
             own.append(last)
         path = decode(steps)
         out = [(p, o, *(c[k][f] for f in ("edge_id", "s", "t", "bearing"))) for p, o, c, k in zip(group["pass_id"], group["obs"], own, path, strict=True) if k is not None]
-        yield pd.DataFrame(out, columns=["pass_id", "obs", "edge_id", "s", "t", "bearing"])
+        return pd.DataFrame(out, columns=["pass_id", "obs", "edge_id", "s", "t", "bearing"])
 
     schema = f"pass_id {poses.schema['pass_id'].dataType.simpleString()}, obs {poses.schema['obs'].dataType.simpleString()}, edge_id string, s double, t double, bearing double"
-
-    def whole(group: pd.DataFrame) -> pd.DataFrame:
-        return next(run(iter([group])))
-
-    return rows.groupBy("pass_id").applyInPandas(whole, schema)
+    return rows.groupBy("pass_id", "chunk").applyInPandas(whole, schema).dropDuplicates(["pass_id", "obs"])
