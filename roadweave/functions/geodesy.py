@@ -21,14 +21,22 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
 
 
 
+def _meridian(zone: int | Column) -> Column:
+    """A zone's central meridian in degrees."""
+    return (zone if isinstance(zone, Column) else F.lit(zone)) * 6.0 - 183.0
 
-def to_utm(lon: Column, lat: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
-    """Easting and northing in metres."""
+
+def _false_northing(north: bool | Column) -> Column:
+    return F.when(north, 0.0).otherwise(1e7) if isinstance(north, Column) else F.lit(0.0 if north else 1e7)
+
+
+def to_utm(lon: Column, lat: Column, zone: int | Column, north: bool | Column = True) -> tuple[Column, Column]:
+    """Easting and northing in metres; zone and hemisphere may differ by row."""
     phi = F.radians(lat)
     sin, cos, tan = F.sin(phi), F.cos(phi), F.tan(phi)
     n = A / F.sqrt(1.0 - E2 * sin * sin)
     t, c = tan * tan, EP2 * cos * cos
-    a = cos * (F.radians(lon) - math.radians(zone * 6.0 - 183.0))
+    a = cos * (F.radians(lon) - F.radians(_meridian(zone)))
     m0 = 1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256
     m2 = 3 * E2 / 8 + 3 * E2**2 / 32 + 45 * E2**3 / 1024
     m4, m6 = 15 * E2**2 / 256 + 45 * E2**3 / 1024, 35 * E2**3 / 3072
@@ -36,12 +44,12 @@ def to_utm(lon: Column, lat: Column, zone: int, north: bool = True) -> tuple[Col
     a2 = a * a
     east = K0 * n * a * (1.0 + a2 * ((1.0 - t + c) / 6.0 + a2 * (5.0 - 18.0 * t + t * t + 72.0 * c - 58.0 * EP2) / 120.0)) + 500000.0
     north_ = K0 * (arc + n * tan * a2 * (0.5 + a2 * ((5.0 - t + 9.0 * c + 4.0 * c * c) / 24.0 + a2 * (61.0 - 58.0 * t + t * t + 600.0 * c - 330.0 * EP2) / 720.0)))
-    return east, north_ + (0.0 if north else 1e7)
+    return east, north_ + _false_northing(north)
 
 
-def from_utm(easting: Column, northing: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
+def from_utm(easting: Column, northing: Column, zone: int | Column, north: bool | Column = True) -> tuple[Column, Column]:
     """Longitude and latitude in degrees."""
-    mu = (northing - (0.0 if north else 1e7)) / K0 / (A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256))
+    mu = (northing - _false_northing(north)) / K0 / (A * (1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256))
     e = (1 - math.sqrt(1 - E2)) / (1 + math.sqrt(1 - E2))
     waves = ((2, 3 * e / 2 - 27 * e**3 / 32), (4, 21 * e**2 / 16 - 55 * e**4 / 32), (6, 151 * e**3 / 96), (8, 1097 * e**4 / 512))
     foot = mu
@@ -55,7 +63,7 @@ def from_utm(easting: Column, northing: Column, zone: int, north: bool = True) -
     d2 = d * d
     lat = foot - n * tan / r * d2 * (0.5 - d2 * ((5.0 + 3.0 * t + 10.0 * c - 4.0 * c * c - 9.0 * EP2) / 24.0 - d2 * (61.0 + 90.0 * t + 298.0 * c + 45.0 * t * t - 252.0 * EP2 - 3.0 * c * c) / 720.0))
     lon = d * (1.0 - d2 * ((1.0 + 2.0 * t + c) / 6.0 - d2 * (5.0 - 2.0 * c + 28.0 * t - 3.0 * c * c + 8.0 * EP2 + 24.0 * t * t) / 120.0)) / cos
-    return F.degrees(lon) + (zone * 6.0 - 183.0), F.degrees(lat)
+    return F.degrees(lon) + _meridian(zone), F.degrees(lat)
 
 
 def centroid_zone(nodes, lon: str = "lon", lat: str = "lat"):

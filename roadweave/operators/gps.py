@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadweave.functions.scalar import half_even
 
+# Names that logs give to the columns.
 ALIASES = {
     "time": "timestamp", "t": "timestamp", "timestamp_s": "timestamp", "epoch": "timestamp", "latitude": "lat", "y": "lat", "longitude": "lon", "x": "lon",
     "bearing": "heading", "yaw": "heading", "velocity": "speed", "speed_kph": "speed",
@@ -56,13 +57,35 @@ def estimated_speed(log: DataFrame) -> DataFrame:
     return log.withColumn("speed", half_even(F.least(F.greatest(metres / F.when(dt <= 0.01, 0.1).otherwise(dt), F.lit(0.0)), F.lit(40.0)), 2))
 
 
+def _filled(log: DataFrame, column: str, estimate) -> DataFrame:
+    """``column`` as it is where a sequence has any value of it, else estimated for the whole sequence."""
+    if column not in log.columns:
+        return estimate(log)
+    known = F.max(F.col(column).cast("double").isNotNull() & ~F.isnan(F.col(column).cast("double"))).over(Window.partitionBy("seq"))
+    kept = log.withColumns({"__own": F.col(column).cast("double"), "__known": known})
+    return estimate(kept).withColumn(column, F.when(F.col("__known"), F.col("__own")).otherwise(F.col(column))).drop("__own", "__known")
+
+
+def normalised(raw: DataFrame, order: str = "row") -> DataFrame:
+    """A drive's log as the engine reads it: known names, seconds since the first row, places as numbers, and heading and speed,
+    estimated for a sequence only where it lacks them. ``raw`` has ``seq`` and ``order`` (a row's place in its file)."""
+    log = renamed(raw)
+    log = rebased(log.withColumn("timestamp", clock(F.col("timestamp").cast("string"))), order)
+    log = log.withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
+    return _filled(_filled(log, "heading", estimated_heading), "speed", estimated_speed)
+
+
 def planar_speed_heading(log: DataFrame) -> DataFrame:
-    """Where a log of ``x``, ``y`` in metres has neither: speed by backward, heading by forward difference."""
+    """A log of ``x``, ``y`` in metres with ``speed`` and ``heading``: those it has, else ``speed_mps`` and ``heading_deg``, else
+    speed by backward and heading by forward difference."""
     w = Window.partitionBy("seq").orderBy("timestamp")
     back = lambda c: F.col(c) - F.lag(c).over(w)
     ahead = lambda c: F.coalesce(F.lead(c).over(w) - F.col(c), F.lit(0.0))
     dt = F.when(back("timestamp") <= 1e-4, 0.1).otherwise(back("timestamp"))
-    return log.withColumns({"speed": F.coalesce(F.hypot(back("x"), back("y")) / dt, F.lit(0.0)), "heading": F.pmod(F.degrees(F.atan2(ahead("x"), ahead("y"))), F.lit(360.0))})
+    speed = F.coalesce(F.hypot(back("x"), back("y")) / dt, F.lit(0.0))
+    heading = F.pmod(F.degrees(F.atan2(ahead("x"), ahead("y"))), F.lit(360.0))
+    choose = lambda names, other: next((F.col(c).cast("double") for c in names if c in log.columns), other)
+    return log.withColumns({"speed": choose(("speed", "speed_mps"), speed), "heading": choose(("heading", "heading_deg"), heading)})
 
 
 def unwrapped(log: DataFrame) -> DataFrame:

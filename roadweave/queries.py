@@ -94,13 +94,14 @@ def utm_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapted(spark, sf_dir, "lonlat").select("event_id", F.round(east, 4).alias("easting"), F.round(north, 4).alias("northing"))
 
 
-@query(f"WITH {sql('lonlat')} SELECT event_id, round(lon, 5) AS lon, round(lat, 5) AS lat FROM lonlat WHERE lon BETWEEN 79 AND 83")
+@query(f"WITH {sql('lonlat')} SELECT event_id, round(lon, 5) AS lon, round(lat, 5) AS lat FROM lonlat")
 def utm_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """There and back within a zone and a bit."""
-    near = adapted(spark, sf_dir, "lonlat").where("lon BETWEEN 79 AND 83")
-    east, north = geodesy.to_utm(F.col("lon"), F.col("lat"), 44)
-    lon, lat = geodesy.from_utm(F.col("e"), F.col("n"), 44)
-    return near.select("event_id", east.alias("e"), north.alias("n")).select("event_id", F.round(lon, 5).alias("lon"), F.round(lat, 5).alias("lat"))
+    """There and back, each row in its own zone."""
+    rows = adapted(spark, sf_dir, "lonlat").withColumns({"zone": geodesy.utm_zone(F.col("lon")), "north": F.col("lat") >= 0})
+    east, north = geodesy.to_utm(F.col("lon"), F.col("lat"), F.col("zone"), F.col("north"))
+    lon, lat = geodesy.from_utm(F.col("e"), F.col("n"), F.col("zone"), F.col("north"))
+    there = rows.select("event_id", "zone", "north", east.alias("e"), north.alias("n"))
+    return there.select("event_id", F.round(lon, 5).alias("lon"), F.round(lat, 5).alias("lat"))
 
 
 @query(f"WITH {sql('lonlat')} SELECT event_id, least(greatest(cast(floor((lon + 180) / 6) AS int) + 1, 1), 60) AS zone, least(greatest(cast(floor((lon + 180) / 6) AS int) + 1, 1), 60) + CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END AS epsg FROM lonlat")
@@ -328,7 +329,7 @@ def road_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT seq, timestamp, round(coalesce(sqrt(bx * bx + by_ * by_) / CASE WHEN dt <= 1e-4 THEN 0.1 ELSE dt END, 0), 6) AS speed, round(degrees(atan2(ax, ay)) - 360 * floor(degrees(atan2(ax, ay)) / 360), 6) AS heading FROM d""")
 def gps_planar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed by backward, heading by forward difference of planar places."""
-    return gps.planar_speed_heading(adapted(spark, sf_dir, "fixes")).select("seq", "timestamp", r6("speed"), r6("heading"))
+    return gps.planar_speed_heading(adapted(spark, sf_dir, "fixes").drop("speed", "heading")).select("seq", "timestamp", r6("speed"), r6("heading"))
 
 
 @query(f"WITH {sql('drive')} SELECT pass_id, obs FROM (SELECT pass_id, obs, row_number() OVER (PARTITION BY pass_id ORDER BY obs) - 1 AS place FROM drive) WHERE place % 3 = 0 AND place < 60")

@@ -3,10 +3,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import camera, frenet, geodesy, scalar
 from roadweave.operators import dedup, detections, emit, gps, graph, matching, roads
+from roadweave.plans import fusion
 
 
 def one(spark, **columns):
@@ -30,14 +32,14 @@ def test_projection_round_trip_and_gates(spark):
     ahead, left = [5, 8, 12, 15, 20, 25, 45, 2.5], [-2.5, -1, 0, 1.2, 2, -1.8, 0, 0]
     df = spark.createDataFrame(list(zip(map(float, ahead), map(float, left), strict=True)), "ahead double, beside double")
     u, v = camera.pixel(F.col("ahead"), F.col("beside"), rig)
-    rows = df.select("ahead", "beside", u.alias("u"), v.alias("v")).withColumns(camera.ground(F.col("u"), F.col("v"), rig)).orderBy("ahead").collect()
+    rows = detections.projected(df.select("ahead", "beside", u.alias("u"), v.alias("v")), rig).orderBy("ahead").collect()
     for r in rows:
         assert r.valid == (4 <= math.hypot(r.ahead, r.beside) <= 30)
         if r.valid:
             assert abs(r.X - r.ahead) < 0.01 and abs(r.Y - r.beside) < 0.01
     by = {r.ahead: r for r in rows}
     assert math.sqrt(by[12].var_xx) > 2 * math.sqrt(by[5].var_xx) and by[45].X is None
-    assert not one(spark, **{"valid": camera.ground(F.lit(960.0), F.lit(100.0), rig)["valid"]}).valid
+    assert not detections.projected(spark.createDataFrame([(960.0, 100.0)], "u double, v double"), rig).first().valid
 
 
 def test_tags(spark):
@@ -174,6 +176,113 @@ def test_streamed_passes_equal_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ledger/v=0")).first().observation_count == 3
 
 
+def test_streamed_passes_after_the_first_are_merged(spark, tmp_path):
+    """Three files, one a batch: the ledger after them is the one that merging pass by pass gives."""
+    from roadweave.streaming.ledger import follow
+
+    schema = "k int, edge_id string, class_name string, track_id int, s double, t double, var_s double, var_t double, conf double"
+    passes = [[(10 * p + k, "e", "pothole", 1, 25.0 + p / 10, 0.0, 0.5, 0.2, 0.6) for k in range(2)] + [(10 * p + 5, "e", "pothole", 2, 60.0 + 20 * p, 0.0, 0.5, 0.2, 0.6)] for p in range(3)]
+    want = None
+    for p, rows in enumerate(passes):
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        follow(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "ledger"), str(tmp_path / "check"), ["k"]).awaitTermination()
+        new = dedup.level1(df, ["k"]).drop("track_id")
+        want = new.collect() if want is None else dedup.level2(spark.createDataFrame(want, new.schema), new).collect()
+    got = spark.read.parquet(str(tmp_path / "ledger/v=2")).collect()
+    key = lambda r: (r.anomaly_id, round(r.s, 9), r.observation_count, r.state)
+    assert sorted(map(key, got)) == sorted(map(key, want)) and len(got) == 4
+    assert max(r.observation_count for r in got) == 4
+
+
+def _bent(x):
+    return F.array(*(F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in x))
+
+
+def test_bearings_near_a_bend(spark):
+    """Within a metre of a vertex the bearing is that of the chord between the places a metre before and after."""
+    edges = spark.range(1).select(F.lit("e").alias("edge_id"), _bent([(0, 0), (0, 50), (50, 50)]).alias("geometry")).unionByName(
+        spark.range(1).select(F.lit("tiny").alias("edge_id"), _bent([(0, 40), (0, 40.05)]).alias("geometry")))
+    poses = spark.createDataFrame([(0, 2.0, 20.0), (1, -1.0, 49.5), (2, 0.25, 51.0), (3, 20.0, 48.0), (4, -1.0, 0.2)], "obs int, x double, y double").withColumn("heading", F.lit(40.0))
+    rows = {r.obs: r for r in matching.candidates(poses, graph.segments(edges)).collect()}
+    line = [(0.0, 0.0, 0.0), (50.0, 0.0, 50.0), (100.0, 50.0, 50.0)]
+
+    def at(s):
+        (c, x, y), (d, u, v) = next((p, q) for p, q in zip(line, line[1:], strict=False) if s <= q[0])
+        return x + (s - c) / (d - c) * (u - x), y + (s - c) / (d - c) * (v - y)
+
+    for o, x, y in ((0, 2.0, 20.0), (1, -1.0, 49.5), (2, 0.25, 51.0), (3, 20.0, 48.0), (4, -1.0, 0.2)):
+        (px, py), (qx, qy) = at(max(0.0, rows[o].s - 1)), at(min(100.0, rows[o].s + 1))
+        bearing = math.degrees(math.atan2(qx - px, qy - py)) % 360
+        fx, fy = at(rows[o].s)
+        assert rows[o].edge_id == "e" and abs(rows[o].bearing - bearing) < 1e-9
+        assert abs(rows[o].t - ((y - fy) * math.sin(math.radians(bearing)) - (x - fx) * math.cos(math.radians(bearing)))) < 1e-9
+    assert 0 < rows[1].bearing < 45 and 45 < rows[2].bearing < 90
+
+
+def test_pieces_of_a_pass_decode_like_the_whole(spark, monkeypatch):
+    nodes, edges = graph.grid(spark, (0.0, 0.0, 200.0, 200.0))
+    rng = np.random.default_rng(5)
+    rows = [(p, 1000 * p + k, float(6 * k % 200 + rng.normal(0, 4)), float(100 * (k // 34 % 3) + rng.normal(0, 6)), float(rng.choice([80.0, 95.0, 270.0]))) for p in range(2) for k in range(150)]
+    poses = spark.createDataFrame(rows, "pass_id int, obs int, x double, y double, heading double")
+    found = matching.candidates(poses, graph.segments(edges)).cache()
+    path = lambda: sorted(map(tuple, matching.matched(poses, found).collect()))
+    whole = path()
+    assert len(whole) == 300 and found.groupBy("obs").count().where("count = 1").count() > 20
+    monkeypatch.setattr(matching, "CHUNK", 8)
+    assert path() == whole
+
+
+def test_rivals_are_assigned_one_to_one(spark):
+    """Two old and two new anomalies in each other's gates, far from others of the edge."""
+    columns = "anomaly_id string, edge_id string, class_name string, s double, t double, var_s double, var_t double, confidence double, observation_count long, state string"
+    row = lambda name, s: (name, "e", "pothole", s, 0.0, 0.5, 0.2, 0.8, 1, "CANDIDATE")
+    old = spark.createDataFrame([row("a", 10.0), row("b", 11.0), *(row(f"o{k}", 100.0 + 20 * k) for k in range(30))], columns)
+    new = spark.createDataFrame([row("x", 10.4), row("y", 9.0), *(row(f"n{k}", 100.5 + 20 * k) for k in range(30))], columns)
+    out = {r.anomaly_id: r for r in dedup.level2(old, new).collect()}
+    assert len(out) == 32 and abs(out["a"].s - 9.5) < 1e-9 and abs(out["b"].s - 10.7) < 1e-9 and abs(out["o7"].s - 240.25) < 1e-9
+
+
+def test_gps_log_is_normalised(spark):
+    raw = spark.createDataFrame([("a", 0, "09-00-31-500000", "17.0", "78.0", "12", None), ("a", 1, "09-00-32-500000", "17.0001", "78.0", "13", None), ("b", 0, "5.0", "17.0", "78.0", None, "90"), ("b", 1, "6.0", "17.0", "78.0001", None, "91")], "seq string, row int, `Time` string, Latitude string, longitude string, velocity string, yaw string")
+    rows = {(r.seq, r.row): r for r in gps.normalised(raw).collect()}
+    assert (rows["a", 1].timestamp, rows["a", 0].speed, rows["a", 0].heading, rows["b", 1].heading) == (1.0, 12.0, 0.0, 91.0)
+    assert abs(rows["b", 0].speed - 111139 * 1e-4 * math.cos(math.radians(17))) < 0.01 and rows["b", 1].speed == 0.0
+    planar = spark.createDataFrame([("a", 0.0, 0.0, 0.0, 7.0), ("a", 1.0, 3.0, 4.0, 8.0)], "seq string, timestamp double, x double, y double, speed_mps double")
+    assert [(r.speed, round(r.heading, 6)) for r in gps.planar_speed_heading(planar).orderBy("timestamp").collect()] == [(7.0, round(math.degrees(math.atan2(3, 4)), 6)), (8.0, 0.0)]
+
+
+def _world(spark, drive, seed):
+    """A straight road of 100 m due north, driven at 10 m/s with GPS noise of 1.5 m, and three planted anomalies."""
+    rng = np.random.default_rng(seed)
+    planted = [(1, "pothole", 25.0, -1.2), (2, "speed_breaker", 50.0, 0.8), (3, "pothole", 75.0, -0.5)]
+    edges = spark.range(1).select(F.lit("1001_1002_0").alias("edge_id"), _bent([(500000, 2000000), (500000, 2000100)]).alias("geometry"), F.lit(100.0).alias("length_m"))
+    log = spark.createDataFrame([(drive, k / 10, 500000.0 + rng.normal(0, 1.5), 2000000.0 + k + rng.normal(0, 1.5), 10.0, 0.0) for k in range(100)], "seq string, timestamp double, x double, y double, speed double, heading double")
+    seen = [(drive, 1000 * k + i, k / 10, s - k, t, name, 0.92, i) for k in range(100) for i, name, s, t in planted if s - k >= 4 and math.hypot(s - k, t) <= 30]
+    seen = spark.createDataFrame(seen, "seq string, obs long, frame_ts double, ahead double, beside double, class_name string, conf double, track_id long")
+    u, v = camera.pixel(F.col("ahead"), F.col("beside"), camera.Rig())
+    return planted, edges, log, seen.withColumns({"u": u, "v": v}).where("v <= 1080").drop("ahead", "beside")
+
+
+def test_planted_anomalies_are_recovered_over_two_passes(spark):
+    planted, edges, log, seen = _world(spark, "first", 42)
+    placed, ledger = fusion.run(seen, log, edges)
+    assert placed.count() == seen.count() and placed.where("edge_id = '1001_1002_0'").count() == placed.count()
+    truth = spark.createDataFrame([(i, c, s, t) for i, c, s, t in planted], "ord int, class_name string, s double, t double")
+    for number in (1, 2):
+        found = ledger.withColumn("ord", F.row_number().over(Window.orderBy("s"))).where("state = 'CONFIRMED'")
+        r = roads.recovery(truth, found).first()
+        assert (r.tp, r.fp, r.fn, r.duplicates) == (3, 0, 0, 0) and ledger.count() == 3
+        if number == 1:
+            _, edges, log, seen = _world(spark, "second", 43)
+            ledger = fusion.run(seen, log, edges, widened(ledger))[1]
+
+
+def widened(ledger):
+    """The places' GPS noise is in no variance of a single pass."""
+    return ledger.select("anomaly_id", "edge_id", "class_name", "s", "t", F.lit(1.0).alias("var_s"), F.lit(1.0).alias("var_t"), "confidence", "observation_count", "state")
+
+
 @pytest.mark.parametrize("raw,seconds", [("12.5", 12.5), ("01-02-03-500000", 3723.5), ("x", 0.0)])
 def test_clock(spark, raw, seconds):
     assert one(spark, c=gps.clock(F.lit(raw))).c == seconds
