@@ -113,12 +113,19 @@ def _assigned(group: pd.DataFrame) -> pd.DataFrame:
 
     for a, b in zip(old.tolist(), new.tolist(), strict=True):
         parent[root(a)] = root(b)
+    sets: dict[int, list[int]] = {}
+    for i, a in enumerate(old.tolist()):
+        sets.setdefault(root(a), []).append(i)
+    names, others, costs = (group[c].to_numpy() for c in ("old_id", "new_id", "d2"))
     out: list[tuple[str, str]] = []
-    for _, some in group.groupby(np.array([root(a) for a in old.tolist()]), sort=False):
-        olds, news = sorted(some["old_id"].unique()), sorted(some["new_id"].unique())
+    for rows in sets.values():
+        if len(rows) == 1:
+            out.append((names[rows[0]], others[rows[0]]))
+            continue
+        olds, news = sorted(set(names[rows])), sorted(set(others[rows]))
         cost = np.full((len(olds), len(news)), np.inf)
-        cost[np.searchsorted(olds, some["old_id"]), np.searchsorted(news, some["new_id"])] = some["d2"]
-        out += [(olds[a], news[b]) for a, b in (assign(cost) if cost.size > 1 else [(0, 0)])]
+        cost[np.searchsorted(olds, names[rows]), np.searchsorted(news, others[rows])] = costs[rows]
+        out += [(olds[a], news[b]) for a, b in assign(cost)]
     return pd.DataFrame(out, columns=["old_id", "new_id"])
 
 

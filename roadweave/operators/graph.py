@@ -117,7 +117,7 @@ def bearing_at(line: Column, s: Column) -> Column:
 
 def segments(edges: DataFrame) -> DataFrame:
     """A row a straight piece: ``edge_id``, ``seg``, ends, place of its start along the edge, length, and ``around``: the
-    points of the line that a bearing within the piece may need, with their places."""
+    points of the line that a bearing within the piece may need, with their places (null where the line is this piece)."""
     lines = edges.select("edge_id", measured_line(F.col("geometry")).alias("line"))
     lines = lines.where((F.size("line") > 1) & (F.element_at("line", -1)["c"] >= LEAST_LINE))
     points = lines.select("edge_id", "line", F.posexplode("line").alias("seg", "a"))
@@ -126,7 +126,7 @@ def segments(edges: DataFrame) -> DataFrame:
     high = F.least(F.size("line") - F.size(F.filter("line", lambda p: p["c"] >= F.col("b.c") + TANGENT)) + 1, F.size("line"))
     return points.select(
         "edge_id", "seg", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"), F.col("a.c").alias("s0"),
-        (F.col("b.c") - F.col("a.c")).alias("len"), F.slice("line", low, high - low + 1).alias("around"),
+        (F.col("b.c") - F.col("a.c")).alias("len"), F.when(F.size("line") > 2, F.slice("line", low, high - low + 1)).alias("around"),
     )
 
 

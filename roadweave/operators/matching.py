@@ -36,9 +36,10 @@ def candidates(poses: DataFrame, segments: DataFrame, gated: bool = True, radius
     f = F.least(F.greatest(((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy) / (F.col("len") * F.col("len")), F.lit(0.0)), F.lit(1.0))
     met = met.withColumn("f", f).withColumns({"fx": F.col("ax") + F.col("f") * dx, "fy": F.col("ay") + F.col("f") * dy})
     met = met.withColumn("d", F.hypot(F.col("x") - F.col("fx"), F.col("y") - F.col("fy"))).where(F.col("d") <= radius)
-    best = F.min(F.struct("d", "seg", (F.col("s0") + F.col("f") * F.col("len")).alias("s"), "fx", "fy", "around")).alias("c")
-    # One exchange by ``obs`` serves the fold over edges, the gate and the ranks.
-    per_edge = met.repartition("obs").groupBy("obs", "edge_id", "x", "y", "heading").agg(best).withColumn("bearing", bearing_at(F.col("c.around"), F.col("c.s")))
+    met = met.withColumns({"s": F.col("s0") + F.col("f") * F.col("len"), "along": F.pmod(F.degrees(F.atan2(dx, dy)), F.lit(360.0))})
+    near = F.when(F.col("around").isNull(), F.col("along")).otherwise(bearing_at(F.col("around"), F.col("s")))
+    best = F.min(F.struct("d", "seg", "s", "fx", "fy", near.alias("bearing"))).alias("c")
+    per_edge = met.groupBy("obs", "edge_id", "x", "y", "heading").agg(best).withColumn("bearing", F.col("c.bearing"))
     slope = F.radians("bearing")
     left = (F.col("y") - F.col("c.fy")) * F.sin(slope) - (F.col("x") - F.col("c.fx")) * F.cos(slope)
     away = F.abs(wrap_degrees(F.col("heading") - F.col("bearing"))) > MOST_TURN
@@ -95,22 +96,22 @@ def matched(poses: DataFrame, found: DataFrame) -> DataFrame:
     order = Window.partitionBy("pass_id").orderBy("obs")
     rows = poses.select("pass_id", "obs", "x", "y").join(held, "obs", "left").withColumn("place", F.row_number().over(order) - 1)
     settled = F.max(F.when(F.size("c") == 1, F.col("place"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("chunk", F.floor(F.coalesce(settled, F.lit(0)) / CHUNK)).withColumn("before", F.lag("chunk").over(order))
-    rows = rows.withColumn("chunk", F.explode(F.when(F.col("before") < F.col("chunk"), F.array("chunk", "before")).otherwise(F.array("chunk"))))
-    rows = rows.select("pass_id", "chunk", "obs", "x", "y", "c")
+    rows = rows.withColumn("own", F.floor(F.coalesce(settled, F.lit(0)) / CHUNK)).withColumn("before", F.lag("own").over(order))
+    rows = rows.withColumn("chunk", F.explode(F.when(F.col("before") < F.col("own"), F.array("own", "before")).otherwise(F.array("own"))))
+    part = lambda c: F.coalesce(F.transform("c", lambda x: x[c]), F.array().cast(f"array<{'string' if c == 'edge_id' else 'double'}>")).alias(c)
+    code = F.coalesce(F.transform("c", lambda x: F.xxhash64(x["edge_id"])), F.array().cast("array<long>")).alias("code")
+    rows = rows.select("pass_id", "chunk", (F.col("own") == F.col("chunk")).alias("mine"), "obs", "x", "y", code, *(part(c) for c in ("edge_id", "s", "t", "bearing", "emission")))
 
     def whole(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("obs", ignore_index=True)
-        codes: dict[str, int] = {}
-        steps, own, last = [], [], None
-        for c, x, y in zip(group["c"], group["x"], group["y"], strict=True):
-            c = [] if c is None else list(c)
-            steps.append((np.array([codes.setdefault(k["edge_id"], len(codes)) for k in c], int), np.array([k["s"] for k in c], float), np.array([k["emission"] for k in c], float), x, y))
-            last = c or last
-            own.append(last)
-        path = decode(steps)
-        out = [(p, o, *(c[k][f] for f in ("edge_id", "s", "t", "bearing"))) for p, o, c, k in zip(group["pass_id"], group["obs"], own, path, strict=True) if k is not None]
+        path = decode(list(zip(group["code"], group["s"], group["emission"], group["x"], group["y"], strict=True)))
+        out, last = [], 0  # the last step that had candidates of its own
+        columns = [group[c].tolist() for c in ("pass_id", "obs", "mine", "edge_id", "s", "t", "bearing")]
+        for i, k in enumerate(path):
+            last = i if len(columns[3][i]) else last
+            if k is not None and columns[2][i]:
+                out.append((columns[0][i], columns[1][i], *(c[last][k] for c in columns[3:])))
         return pd.DataFrame(out, columns=["pass_id", "obs", "edge_id", "s", "t", "bearing"])
 
     schema = f"pass_id {poses.schema['pass_id'].dataType.simpleString()}, obs {poses.schema['obs'].dataType.simpleString()}, edge_id string, s double, t double, bearing double"
-    return rows.groupBy("pass_id", "chunk").applyInPandas(whole, schema).dropDuplicates(["pass_id", "obs"])
+    return rows.groupBy("pass_id", "chunk").applyInPandas(whole, schema)
