@@ -1,4 +1,9 @@
-"""A training-data pipeline over ``documents``: five stages, each written as Parquet and read again by the next."""
+"""A training-data pipeline over ``documents``: five stages, each written as Parquet and read again by the next.
+
+Edge cases, as the operators define them: a null or empty text is rejected by the quality rules; rows without an id go through
+all stages; repeated rows and near copies leave one row, the least by id; very long texts are judged whole and cut by the last
+stage only; empty tables give no rows; extra columns, whatever their names, are kept up to the last stage, which returns pieces.
+"""
 
 from __future__ import annotations
 
