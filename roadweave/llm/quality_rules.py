@@ -8,8 +8,9 @@ no loss, and what is left must have ``LEAST_WORDS`` too. All work stays within a
 
 Windows are compared by a 64-bit hash within one document, where a false match has a probability of about n**2 / 2**65.
 
-Edge cases: a null text counts as empty: no words, ``base_failed``, not kept; ties and repeated rows are judged each; an
-empty table gives no rows; other columns are ignored (``clean`` keeps them).
+Edge cases: a null text counts as empty: no words, ``base_failed``, not kept; ties and repeated rows are judged each; a very
+long text is one row, whose arrays of words and windows (some 50 bytes a word) must fit a task's memory; an empty table gives
+no rows; other columns are ignored (``clean`` keeps them, also those named as the measures are).
 """
 
 from __future__ import annotations

@@ -5,12 +5,14 @@ logistic classifier on the presence of words and word beginnings. Its risk is th
 plus the unlabelled's less the positives' share of it, which is held at zero or above; the loss is the sigmoid, bounded, so
 that hidden positives cannot drive it below zero by their scores alone. Features are chosen by their frequency among
 positives against that among negatives, which is the unlabelled one less the positives' share (at least 0), so that a word
-of toxic texts only is chosen however many of the rows are toxic. The prior is the toxic share of the labels that may be
-used. Documents of the held-out fold (crc32 of ``doc_id`` as text, modulo 5, is 0) give neither labels nor unlabelled text.
+of toxic texts only is chosen however many of the rows are toxic: a feature must stand out by ``LEAST_Z`` and ``LEAST_RATIO``,
+the ``MOST_FEATURES`` strongest are taken, and their weights stay at zero or above. The prior is the toxic share of the labels
+that may be used, confirmed negatives counted, held between 0.001 and 0.5. Documents of the held-out fold (crc32 of ``doc_id`` as text, modulo 5, is 0) give neither labels nor unlabelled text.
 
 Edge cases: a null or empty text scores by the bias alone; without confirmed examples all scores are 0; a null label is
 no label, and with several labels for a document any toxic one confirms it; a null ``doc_id`` is not held out; repeated
-rows get equal scores; other columns are ignored.
+rows get equal scores; very long texts are read whole; an empty table gives no rows; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
