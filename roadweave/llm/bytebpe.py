@@ -7,7 +7,7 @@ constant end the scan at their place at once, the others (apostrophes and the le
 until they are constant too. The slices between the boundaries feed pair merging behind a cache.
 
 Edge cases: a null or empty text has no tokens and decodes to no bytes; other columns are ignored; repeated rows give
-repeated results; a very long piece is merged with a heap instead of rescans.
+repeated results; a very long piece is merged with a heap instead of rescans; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -496,6 +496,20 @@ def test_pipeline_stages_against_plain_versions(spark, tmp_path):
         assert "@" not in text and row["length"] == len(ids) and row["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
 
 
+def test_pipeline_edges(spark, edge, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names pass all stages; so does an empty table."""
+    import corpus_pipeline
+
+    prose = [(None, ". ".join(" ".join(words(12, k)) for k in range(5)) + ".", "en", "s")] * 2 + [(70, ". ".join(" ".join(words(12, 9 * k)) for k in range(5)) + ".", None, None)]
+    docs = edge.unionByName(spark.createDataFrame(prose, "doc_id long, text string, lang string, source string"), allowMissingColumns=True)
+    labels = spark.createDataFrame([(70, 1), (3, None)], "doc_id long, quality int")
+    for name, rows in (("some", docs), ("none", docs.limit(0))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert sorted(str(r.doc_id) for r in out) == (["70", "None"] if name == "some" else [])
+
+
 def test_one_id_with_most_rows_is_spread(spark):
     """Repeated and null ids fill no task of packing or of the token shards, and no fit's sample."""
     rows = [(7 if k % 2 else None if k % 3 else k, " ".join(words(20, k))) for k in range(900)]
