@@ -45,9 +45,6 @@ def ground_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.groupBy("class_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("range_m"), 6).alias("mean_range"), F.round(F.max("X"), 6).alias("farthest"))
 
 
-flagship = ground_summary
-
-
 @query(f"""WITH {sql('det')}, {_RAY} SELECT k1, k2, k3, k4, round(xf, 6) AS "X", CASE WHEN round(yl, 6) = 0 THEN 0.0 ELSE round(yl, 6) END AS "Y", round(reach, 6) AS range_m,
 round(pow(xf * xf / (1.5 * 1380) * 2, 2) + pow(xf * xf / 1.5 * radians(0.5), 2), 6) AS var_xx, round(pow(xf / 1380 * 2, 2), 6) AS var_yy FROM ground""")
 def project_ground(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,3 +363,6 @@ def fusion_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = drive.select(F.col("pass_id").alias("seq"), F.col("frame_ts").alias("timestamp"), "x", "y", F.lit(12.0).alias("speed"), "heading")
     found = drive.select(F.col("pass_id").alias("seq"), "obs", (F.col("frame_ts") + 0.1).alias("frame_ts"), F.expr("cast(600 + obs * 37 % 700 AS double)").alias("u"), F.expr("cast(600 + obs * 13 % 300 AS double)").alias("v"), F.expr("CASE obs % 3 WHEN 0 THEN 'pothole' WHEN 1 THEN 'speed_breaker' ELSE 'car' END").alias("class_name"), F.lit(0.8).alias("conf"), F.expr("CASE WHEN obs % 4 = 0 THEN -1 ELSE obs % 40 END").alias("track_id"))
     return fusion.run(found, log, graph.grid_edges(adapted(spark, sf_dir, "grid")))[1]
+
+
+flagship = fusion_ledger
