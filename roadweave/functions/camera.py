@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Names that rig files give to two of the figures.
+FILE_NAMES = {"pixel_sigma_v": "sigma_v_px", "pitch_sigma_deg": "sigma_pitch_deg"}
+
 
 @dataclass(frozen=True)
 class Rig:
@@ -28,8 +32,19 @@ class Rig:
 
     @classmethod
     def from_config(cls, config: dict) -> Rig:
-        """From a mapping of these names; what is missing keeps its default."""
-        return cls(**{k: float(config[k]) for k in cls.__dataclass_fields__ if k in config})
+        """From a mapping of these names or of the rig file's groups; what is missing keeps its default."""
+        flat = {k: v for k, v in config.items() if not isinstance(v, dict)}
+        for group in ("camera", "mounting", "processing_gates"):
+            flat |= config.get(group) or {}
+        named = flat | {k: flat[old] for old, k in FILE_NAMES.items() if old in flat}
+        return cls(**{k: float(named[k]) for k in cls.__dataclass_fields__ if k in named})
+
+    @classmethod
+    def from_yaml(cls, path: str | Path) -> Rig:
+        """From a rig file; needs a YAML reader."""
+        import yaml
+
+        return cls.from_config(yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {})
 
     @property
     def rotation(self) -> np.ndarray:

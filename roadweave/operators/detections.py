@@ -76,6 +76,15 @@ def every_kth(frames: DataFrame, order: str, step: int = 1, most: int | None = N
     return (kept.where(F.col("place") < step * most) if most is not None else kept).drop("place")
 
 
+def image_times(images: DataFrame, log: DataFrame) -> DataFrame:
+    """``frame_ts`` of images (``seq``, ``name``, ``frame_idx``): the time of the log's last row (``seq``, ``row``, ``image_idx``,
+    ``timestamp``) of the number that the name starts as, else a tenth of a second a frame."""
+    number = F.regexp_extract("name", r"^(\d+)\.[^.]*$", 1).try_cast("long")
+    known = log.where("image_idx IS NOT NULL").groupBy("seq", F.col("image_idx").cast("long").alias("number")).agg(F.max_by("timestamp", "row").alias("known"))
+    met = images.withColumn("number", number).join(known, ["seq", "number"], "left")
+    return met.withColumn("frame_ts", F.coalesce("known", F.bround(F.col("frame_idx") * 0.1, 3))).drop("number", "known")
+
+
 def synthetic_drive(spark, frames: int, fps: float, plants: DataFrame, seed: int = 42) -> DataFrame:
     """A detection of each plant (``start``, ``end``, ``class_name``, ``track_id``) in each of its frames, seen to grow."""
     ticks = spark.range(frames).withColumnRenamed("id", "frame_idx")

@@ -170,12 +170,21 @@ def scenario(directory: str | Path, nodes: DataFrame, edges: DataFrame, anomalie
     return sums
 
 
+def add_facts(directory: str | Path, facts: dict) -> dict:
+    """The manifest with more facts in it, which is returned."""
+    path = Path(directory) / "MANIFEST.json"
+    manifest = json.loads(path.read_text()) | facts
+    write_atomic(path, json.dumps(manifest, indent=2))
+    return manifest
+
+
 def report(directory: str | Path) -> str:
-    """What the manifest names and whether it is there unchanged."""
+    """What the manifest names and whether it is there unchanged, and its counts."""
     top = Path(directory)
-    files = json.loads((top / "MANIFEST.json").read_text())["files"]
+    manifest = json.loads((top / "MANIFEST.json").read_text())
+    files = manifest["files"]
     state = lambda n, h: "missing" if not (top / n).exists() else "ok" if hashlib.sha256((top / n).read_bytes()).hexdigest() == h else "changed"
-    return "\n".join(f"{n}: {state(n, h)}" for n, h in files.items())
+    return "\n".join([*(f"{n}: {state(n, h)}" for n, h in files.items()), *(f"{k} = {v}" for k, v in manifest.get("statistics", {}).items())])
 
 
 def validate_roads(path: str | Path) -> tuple[bool, list[str], list[str]]:

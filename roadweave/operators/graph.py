@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadweave.functions import scalar
@@ -51,6 +51,12 @@ def clean_tags(raw: DataFrame) -> DataFrame:
     return typed.withColumn("width_osm_m", scalar.width(F.col("width"), F.col("lanes")))
 
 
+def with_node_defaults(nodes: DataFrame) -> DataFrame:
+    """Nodes without a type are ``priority``."""
+    given = F.col("highway") if "highway" in nodes.columns else F.lit(None).cast("string")
+    return nodes.withColumn("highway", F.coalesce(given, F.lit("priority")))
+
+
 def not_degenerate(length: str = "length_m", geometry_length: str = "geometry_length_m") -> Column:
     """False for edges of 1 cm or less, else of no geometry; without either fact an edge is degenerate."""
     return F.when(F.col(length).isNotNull(), F.col(length) > 0.01).when(F.col(geometry_length).isNotNull(), F.col(geometry_length) > 1e-7).otherwise(F.lit(False))
@@ -115,6 +121,14 @@ def bearing_at(line: Column, s: Column) -> Column:
     return F.pmod(F.degrees(F.atan2(q["x"] - p["x"], q["y"] - p["y"])), F.lit(360.0))
 
 
+def gradient_bearings(samples: DataFrame) -> DataFrame:
+    """``bearing`` of sampled points (``edge_id``, ``seq``, ``x``, ``y``) by central differences, one-sided at an edge's ends;
+    an edge of one point has 0."""
+    w = Window.partitionBy("edge_id").orderBy("seq")
+    rise = lambda c: F.coalesce(F.lead(c).over(w), F.col(c)) - F.coalesce(F.lag(c).over(w), F.col(c))  # noqa: E731  (twice the step inside, which no angle minds)
+    return samples.withColumn("bearing", F.pmod(F.degrees(F.atan2(rise("x"), rise("y"))), F.lit(360.0)))
+
+
 def segments(edges: DataFrame) -> DataFrame:
     """A row a straight piece: ``edge_id``, ``seg``, ends, place of its start along the edge, length, and ``around``: the
     points of the line that a bearing within the piece may need, with their places (null where the line is this piece)."""

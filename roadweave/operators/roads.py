@@ -26,6 +26,12 @@ def class_mix(observations: DataFrame) -> DataFrame:
     return n.withColumn("share", half_even(F.col("n") / F.sum("n").over(Window.partitionBy("edge_id")), 3))
 
 
+def frame_class_mix(detections: DataFrame, matched: DataFrame) -> DataFrame:
+    """``class_mix`` of detections by the edge that their frame (``seq``, ``frame_idx``) was matched to; ``matched`` has one row
+    a frame, and frames without an edge are left out."""
+    return class_mix(detections.select("seq", "frame_idx", "class_name").join(matched.select("seq", "frame_idx", "edge_id"), ["seq", "frame_idx"]))
+
+
 def recovery(truth: DataFrame, recovered: DataFrame, tolerance: float = 3.0) -> DataFrame:
     """Precision, recall, F1 and duplicates; both tables have ``ord``, ``class_name``, ``s``, ``t``.
 

@@ -25,7 +25,8 @@ def observations(found: DataFrame, log: DataFrame, edges: DataFrame, rig: Rig |
     met = posed.join(path, "obs").join(lengths, "edge_id", "left").withColumn("length_m", F.coalesce("length_m", F.lit(100.0)))
     c = F.col
     placed = obstacle(c("ego_s"), c("ego_t"), c("ego_heading"), c("bearing"), c("X"), c("Y"), c("var_xx"), c("var_yy"), c("cov_xy"), c("length_m"))
-    out = met.select("seq", "obs", "frame_ts", "edge_id", "class_name", "conf", "track_id", *(v.alias(k) for k, v in placed.items()))
+    frame = [k for k in ("frame_idx",) if k in found.columns]
+    out = met.select("seq", "obs", *frame, "frame_ts", "edge_id", "class_name", "conf", "track_id", *(v.alias(k) for k, v in placed.items()))
     return out.withColumns({"var_s": F.col("sigma_s") ** 2, "var_t": F.col("sigma_t") ** 2})
 
 

@@ -12,6 +12,7 @@ from roadweave.operators import dedup, detections, emit, gps, graph, matching, r
 from roadweave.plans import fusion
 from roadweave.plans.adapters import adapted, sql
 from roadweave.runtime import stored
+from roadweave.sources import stores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -242,13 +243,13 @@ def confirmed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("anomaly_id", "edge_id", "class_name", *(r6(c) for c in ("s", "t", "sigma_s", "sigma_t", "confidence")), "observation_count", "state")
 
 
-@query(f"""WITH {sql('ledger')}, {sql('news')}, up AS (SELECT replace(anomaly_id, 'n', 'a') AS anomaly_id, 'other' AS edge_id, s, confidence FROM news WHERE cast(substr(anomaly_id, 2) AS int) % 3 = 0 UNION ALL SELECT anomaly_id, 'other', s, confidence FROM news WHERE cast(substr(anomaly_id, 2) AS int) % 3 = 1)
+@query(f"""WITH {sql('ledger')}, {sql('news')}, up AS (SELECT replace(anomaly_id, 'n', 'a') AS anomaly_id, 'other' AS edge_id, s, confidence FROM news WHERE cast(substr(anomaly_id, 2) AS int) % 3 <> 1 UNION ALL SELECT anomaly_id, 'other', s, confidence FROM news WHERE cast(substr(anomaly_id, 2) AS int) % 3 = 1)
 SELECT coalesce(a.anomaly_id, b.anomaly_id) AS anomaly_id, CASE WHEN a.anomaly_id IS NULL THEN b.edge_id ELSE a.edge_id END AS edge_id, coalesce(b.s, a.s) AS s, coalesce(b.confidence, a.confidence) AS confidence, CASE WHEN a.anomaly_id IS NULL THEN 2 ELSE 1 END AS created_at, CASE WHEN b.anomaly_id IS NULL THEN 1 ELSE 2 END AS updated_at
 FROM ledger a FULL OUTER JOIN up b ON a.anomaly_id = b.anomaly_id""")
 def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = lambda df, t: df.withColumns({"created_at": F.lit(t), "updated_at": F.lit(t)})
     news, rest = adapted(spark, sf_dir, "news").withColumn("edge_id", F.lit("other")), F.expr("cast(substr(anomaly_id, 2) AS int) % 3")
-    rows = news.where(rest == 0).withColumn("anomaly_id", F.replace("anomaly_id", F.lit("n"), F.lit("a"))).unionByName(news.where(rest == 1))
+    rows = news.where(rest != 1).withColumn("anomaly_id", F.replace("anomaly_id", F.lit("n"), F.lit("a"))).unionByName(news.where(rest == 1))
     out = dedup.upsert(stamped(adapted(spark, sf_dir, "ledger"), 1), stamped(rows, 2))
     return out.select("anomaly_id", "edge_id", "s", "confidence", "created_at", "updated_at")
 
@@ -356,6 +357,59 @@ def graph_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.snapshot(graph.grid_edges(adapted(spark, sf_dir, "grid")))
 
 
+@query(f"WITH {sql('tags')} SELECT p_partkey, coalesce(highway, 'priority') AS highway FROM tags")
+def node_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.with_node_defaults(adapted(spark, sf_dir, "tags")).select("p_partkey", "highway")
+
+
+@query(f"""WITH {sql('lonlat')}, m AS (SELECT avg(lon) AS lon, avg(lat) AS lat FROM lonlat), z AS (SELECT least(greatest(cast(floor((lon + 180) / 6) AS int) + 1, 1), 60) AS zone, lat >= 0 AS north FROM m)
+SELECT zone, north, CASE WHEN north THEN 32600 ELSE 32700 END + zone AS epsg FROM z""")
+def centroid_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone of the mean node."""
+    return geodesy.centroid_zone(adapted(spark, sf_dir, "lonlat"))
+
+
+_FRAMES = "CASE WHEN ask % 5 <> 0 THEN concat('e', cast(ask % 40 AS string)) END"
+
+
+@query(f"""WITH {sql('obs')}, {sql('asked')}, m AS (SELECT seq, ask, {_FRAMES} AS edge_id FROM asked), j AS (SELECT m.edge_id, class_name FROM obs JOIN m ON k1 % 8 = seq AND k1 = ask WHERE m.edge_id IS NOT NULL)
+SELECT edge_id, class_name, count(*) AS n, round_even(count(*) / sum(count(*)) OVER (PARTITION BY edge_id), 3) AS share FROM j GROUP BY edge_id, class_name""")
+def frame_class_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections by the edge of their frame."""
+    found = adapted(spark, sf_dir, "obs").select(F.expr("k1 % 8").alias("seq"), F.col("k1").alias("frame_idx"), "class_name")
+    matched = adapted(spark, sf_dir, "asked").select("seq", F.col("ask").alias("frame_idx"), F.expr(_FRAMES).alias("edge_id"))
+    return roads.frame_class_mix(found, matched)
+
+
+_NAME = "CASE WHEN ask % 7 = 0 THEN 'left.jpg' ELSE concat(lpad(cast(ask * 3 % 150 AS string), 7, '0'), '.png') END"
+
+
+@query(f"""WITH {sql('asked')}, {sql('fixes')}, k AS (SELECT seq, cast(timestamp * 2 AS bigint) % 100 AS number, arg_max(timestamp, timestamp) AS known FROM fixes GROUP BY 1, 2)
+SELECT a.seq, ask AS frame_idx, coalesce(known, round_even(ask * cast(0.1 AS double), 3)) AS frame_ts FROM asked a LEFT JOIN k ON a.seq = k.seq AND ask % 7 <> 0 AND ask * 3 % 150 = number""")
+def image_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images at the log's times by their number, the last of a number's; others by their place."""
+    pictures = adapted(spark, sf_dir, "asked").select("seq", F.col("ask").alias("frame_idx"), F.expr(_NAME).alias("name"))
+    log = adapted(spark, sf_dir, "fixes").select("seq", F.col("timestamp").alias("row"), F.expr("cast(timestamp * 2 AS bigint) % 100").alias("image_idx"), "timestamp")
+    return detections.image_times(pictures, log).select("seq", "frame_idx", "frame_ts")
+
+
+@query(f"""WITH {sql('fixes')}, d AS (SELECT seq, timestamp, lead(x, 1, x) OVER w - lag(x, 1, x) OVER w AS dx, lead(y, 1, y) OVER w - lag(y, 1, y) OVER w AS dy FROM fixes WINDOW w AS (PARTITION BY seq ORDER BY timestamp))
+SELECT seq, timestamp, round(degrees(atan2(dx, dy)) - 360 * floor(degrees(atan2(dx, dy)) / 360), 6) AS bearing FROM d""")
+def gradient_bearings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bearings by central differences."""
+    points = adapted(spark, sf_dir, "fixes").select(F.col("seq").alias("edge_id"), F.col("timestamp").alias("seq"), "x", "y")
+    return graph.gradient_bearings(points).select(F.col("edge_id").alias("seq"), F.col("seq").alias("timestamp"), r6("bearing"))
+
+
+@query(f"""WITH {sql('roads')} SELECT edge_id, concat('LINESTRING (', cast(cast(500000 + u % 900 AS double) AS string), ' ', cast(cast(2000000 + v % 700 AS double) AS string), ', ', cast(cast(500030 + u % 900 AS double) AS string), ' ', cast(cast(2000040 + v % 700 AS double) AS string), ')') AS geometry_wkt,
+2 AS n_points, cast(500030 + u % 900 AS double) AS last_x, cast(50 AS double) AS length FROM roads""")
+def edge_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to text and back."""
+    layer = stores.to_wkt(_emitted(spark, sf_dir))
+    back = stores.from_wkt(layer.withColumn("text", F.col("geometry_wkt")))
+    return back.select("edge_id", F.col("text").alias("geometry_wkt"), F.size("geometry").alias("n_points"), F.element_at("geometry", -1)["x"].alias("last_x"), graph.polyline_length(F.col("geometry")).alias("length"))
+
+
 @query()
 def fusion_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole core: detections of eight drives over a grid to a ledger of canonical anomalies."""
