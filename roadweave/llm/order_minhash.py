@@ -328,8 +328,12 @@ def verified(pairs: DataFrame, held: DataFrame, similarity: float = SIMILARITY)
     A leader (``a``) travels once for about ``PARTNERS`` partners and is followed by them, a row each, so that a worker
     holds two texts. Labels that a task has joined already are not tried again in it.
     """
-    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    salted = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS))).drop("n")
+    # A leader may have a third of all texts as partners, so its pairs are counted, and meet their number, in SALTS places.
+    dealt = pairs.withColumn("place", F.pmod(F.xxhash64("b", F.lit(1)), F.lit(SALTS)))
+    parts = dealt.groupBy("a", "place").agg(F.count(F.lit(1)).alias("n"))
+    many = parts.groupBy("a").agg(F.sum("n").alias("n"), F.collect_list("place").alias("places"))
+    many = many.select("a", "n", F.explode("places").alias("place"))
+    salted = dealt.join(many, ["a", "place"]).withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / PARTNERS))).drop("n", "place")
     columns = ["a", "salt", "la", "b", "lb", "words"]
     partner = salted.join(held.select(F.col("id").alias("b"), "words"), "b").select(*columns)
     none = F.lit(None).cast("long")
