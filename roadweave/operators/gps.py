@@ -14,6 +14,7 @@ ALIASES = {
 }
 METRES_A_DEGREE = 111139.0
 MOST_GAP_S, MOST_SPEED = 1.0, 45.0
+SLICE_S = 256.0  # seconds of a drive that a window looks through at once
 
 
 def renamed(raw: DataFrame) -> DataFrame:
@@ -88,12 +89,16 @@ def planar_speed_heading(log: DataFrame) -> DataFrame:
     return log.withColumns({"speed": choose(("speed", "speed_mps"), speed), "heading": choose(("heading", "heading_deg"), heading)})
 
 
+def _turn(raw: Column) -> Column:
+    """The short way round of a difference of headings; half a turn keeps its sign."""
+    turn = F.pmod(raw + 180.0, F.lit(360.0)) - 180.0
+    return F.when((turn == -180.0) & (raw > 0), 180.0).otherwise(turn)
+
+
 def unwrapped(log: DataFrame) -> DataFrame:
     """``heading_unwrapped``: no jump of more than half a turn between rows of a sequence."""
     w = Window.partitionBy("seq").orderBy("timestamp")
-    raw = F.col("heading") - F.lag("heading").over(w)
-    turn = F.pmod(raw + 180.0, F.lit(360.0)) - 180.0
-    turn = F.when((turn == -180.0) & (raw > 0), 180.0).otherwise(turn)
+    turn = _turn(F.col("heading") - F.lag("heading").over(w))
     first = F.first_value("heading").over(w)
     return log.withColumn("turn", F.coalesce(turn, F.lit(0.0))).withColumn("heading_unwrapped", first + F.sum("turn").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("turn")
 
@@ -102,23 +107,34 @@ def poses(queries: DataFrame, log: DataFrame, columns: tuple[str, ...] = ("x", "
     """``queries`` (``seq``, ``frame_ts`` and more) with interpolated ``columns``, ``heading`` and ``gps_valid``.
 
     An as-of join to both sides: log and queries are one table in time order, and each query carries the last fix at or
-    before it and the first at or after it. Outside the log the nearest end holds.
+    before it and the first at or after it. Outside the log the nearest end holds. A drive of any length is gone through in
+    slices of ``SLICE_S``, each with the nearest fixes of the slices before and after it.
     """
-    fix = F.struct(F.col("timestamp").alias("t"), *columns, F.col("heading_unwrapped").alias("heading"))
-    fixes = unwrapped(log).select("seq", F.col("timestamp").alias("at"), fix.alias("fix"))
+    parts = {"t": "timestamp", **{c: c for c in columns}, "heading": "heading"}
+    fixes = log.select("seq", F.col("timestamp").alias("at"), F.struct(*(F.col(c).alias(k) for k, c in parts.items())).alias("fix"))
     asked = queries.select("seq", (F.col("frame_ts") + offset).alias("at"), F.struct(*queries.columns).alias("row"))
     both = fixes.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType)).unionByName(asked.withColumn("fix", F.lit(None).cast(fixes.schema["fix"].dataType)))
-    w = Window.partitionBy("seq").orderBy("at")  # equal instants are one range: a query meets a fix of its own instant
+    at = F.col("at").cast("double")
+    most = F.lit(2**62)  # in the order of ``at``: null before, NaN after all else
+    both = both.withColumn("slice", F.when(at.isNull(), -most).when(F.isnan(at), most).otherwise(F.least(F.greatest(F.floor(at / SLICE_S), -most), most)))
+    end = lambda f, by: F.when(f("fix.t").isNotNull(), F.struct(*(by(f"fix.{k}", "fix.t").alias(k) for k in parts)))
+    ends = both.groupBy("seq", "slice").agg(end(F.min, F.min_by).alias("first"), end(F.max, F.max_by).alias("last"))  # a row a slice
+    earlier, later = (Window.partitionBy("seq").orderBy(k).rowsBetween(Window.unboundedPreceding, -1) for k in ("slice", F.desc("slice")))
+    near = ends.select("seq", "slice", F.last("last", ignorenulls=True).over(earlier).alias("p"), F.last("first", ignorenulls=True).over(later).alias("q"))
+    near = near.select("seq", "slice", F.explode(F.array("p", "q")).alias("fix")).where("fix IS NOT NULL")
+    both = both.unionByName(near.select("seq", F.col("fix.t").alias("at"), "slice", "fix"), allowMissingColumns=True)
+    w = Window.partitionBy("seq", "slice").orderBy("at")  # equal instants are one range: a query meets a fix of its own instant
     before = F.last("fix", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    back = Window.partitionBy("seq").orderBy(F.desc("at"))  # backwards, as a frame to the end would be gone through for each row
+    back = Window.partitionBy("seq", "slice").orderBy(F.desc("at"))  # backwards, as a frame to the end would be gone through for each row
     after = F.last("fix", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, 0))
     met = both.withColumns({"p": before, "q": after}).where("row IS NOT NULL")
     p, q = F.coalesce("p", "q"), F.coalesce("q", "p")
     share = F.when(q["t"] > p["t"], (F.col("at") - p["t"]) / (q["t"] - p["t"])).otherwise(0.0)
     mid = lambda c: p[c] + share * (q[c] - p[c])
+    heading = F.coalesce(p["heading"], q["heading"]) + share * F.coalesce(_turn(q["heading"] - p["heading"]), F.lit(0.0))
     near = F.least(F.abs(F.col("at") - p["t"]), F.abs(q["t"] - F.col("at")))
     valid = F.col("p").isNotNull() & F.col("q").isNotNull() & (near <= MOST_GAP_S)
-    out = met.select("row.*", *(mid(c).alias(f"ego_{c}") for c in columns), F.pmod(mid("heading"), F.lit(360.0)).alias("ego_heading"), F.coalesce(valid, F.lit(False)).alias("gps_valid"))
+    out = met.select("row.*", *(mid(c).alias(f"ego_{c}") for c in columns), F.pmod(heading, F.lit(360.0)).alias("ego_heading"), F.coalesce(valid, F.lit(False)).alias("gps_valid"))
     return out.withColumn("gps_valid", F.col("gps_valid") & (F.col("ego_speed") <= MOST_SPEED)) if "speed" in columns else out
 
 

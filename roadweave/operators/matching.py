@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from roadweave.functions.scalar import wrap_degrees
 from roadweave.operators.graph import bearing_at
+from roadweave.runtime import stored
 
 RADIUS, SIGMA, BETA, MOST_TURN, BEST = 35.0, 5.0, 10.0, 100.0, 8
 CHUNK = 4096  # poses that are decoded at once
+SLICE = 8192  # poses of a pass that a window looks through at once
 PIECE = 35.0  # metres of a segment that are put into cells at once
 
 
@@ -31,7 +33,8 @@ def candidates(poses: DataFrame, segments: DataFrame, gated: bool = True, radius
     cut = cut.withColumns({"px": along("ax", "bx", 0), "py": along("ay", "by", 0), "qx": along("ax", "bx", 1), "qy": along("ay", "by", 1)})
     span = lambda p, q: F.sequence(cell(F.least(p, q) - radius), cell(F.greatest(p, q) + radius))
     cells = cut.withColumn("cx", F.explode(span("px", "qx"))).withColumn("cy", F.explode(span("py", "qy"))).drop("px", "py", "qx", "qy", "part", "parts").distinct()
-    met = poses.select("obs", "x", "y", "heading", cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy")).join(cells, ["cx", "cy"])
+    at = poses.select("obs", "x", "y", "heading", cell(F.col("x")).alias("cx"), cell(F.col("y")).alias("cy"))
+    met = at.join(cells.hint("merge"), ["cx", "cy"])  # else poses are broadcast whose files are small only as they are compressed
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     f = F.least(F.greatest(((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy) / (F.col("len") * F.col("len")), F.lit(0.0)), F.lit(1.0))
     met = met.withColumn("f", f).withColumns({"fx": F.col("ax") + F.col("f") * dx, "fy": F.col("ay") + F.col("f") * dy})
@@ -88,16 +91,30 @@ def decode(steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, float, float]])
 def matched(poses: DataFrame, found: DataFrame) -> DataFrame:
     """The candidate that the most likely path of each ``pass_id`` takes at each pose, in order of ``obs``.
 
-    Every path goes through a pose with a single candidate, so a pass is cut there, into pieces of ``CHUNK`` poses or somewhat
-    more, which are decoded apart; a piece ends with the pose that the next one starts with. Poses of steps that took over
-    candidates get those of the last step that had its own.
+    Every path goes through a pose with a single candidate, and before a pose that shares no edge with the last one that had
+    candidates all paths end alike, so a pass is cut there, into pieces of ``CHUNK`` poses or somewhat more, which are decoded
+    apart; at a single candidate a piece ends with the pose that the next one starts with. Poses of steps that took over
+    candidates get those of the last step that had its own. Cuts are sought in slices of ``SLICE`` poses, each of which starts
+    with a row for the last cut before it; the poses are stored, as both read them.
     """
     held = found.groupBy("obs").agg(F.sort_array(F.collect_list(F.struct("rank", "edge_id", "s", "t", "bearing", "emission"))).alias("c"))
-    order = Window.partitionBy("pass_id").orderBy("obs")
-    rows = poses.select("pass_id", "obs", "x", "y").join(held, "obs", "left").withColumn("place", F.row_number().over(order) - 1)
-    settled = F.max(F.when(F.size("c") == 1, F.col("place"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("own", F.floor(F.coalesce(settled, F.lit(0)) / CHUNK)).withColumn("before", F.lag("own").over(order))
-    rows = rows.withColumn("chunk", F.explode(F.when(F.col("before") < F.col("own"), F.array("own", "before")).otherwise(F.array("own"))))
+    ordered = poses.select("pass_id", "obs", "x", "y").repartitionByRange("pass_id", "obs").sortWithinPartitions("pass_id", "obs").withColumn("place", F.monotonically_increasing_id())
+    slices = F.floor(F.col("place") / SLICE)  # a partition's numbers start at a multiple of 2 ** 33
+    order = Window.partitionBy("pass_id", "slice").orderBy("place")
+    edges = F.transform("c", lambda x: x["edge_id"])
+    known = F.last(edges, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = ordered.withColumn("slice", slices).join(held, "obs", "left").withColumn("apart", F.coalesce(~F.arrays_overlap(edges, known), F.lit(False)))
+    cut = F.when(F.col("apart") | (F.size("c") == 1), F.col("place"))
+    rows = stored(rows.withColumn("cut", cut).withColumn("head", F.lit(False)), "steps")
+    ends = rows.groupBy("pass_id", "slice").agg(F.max("cut").alias("cut"), F.min("place").alias("at"), F.min(F.when(F.col("c").isNotNull(), F.col("place"))).alias("met"))  # a row a slice
+    earlier = Window.partitionBy("pass_id").orderBy("slice")
+    last = F.coalesce(F.max("cut").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    pathless = ~F.first(F.col("at").eqNullSafe(F.col("met"))).over(earlier)
+    heads = ends.select("pass_id", "slice", F.lit(-1).cast("long").alias("place"), last.alias("cut"), F.lit(True).alias("head"), pathless.alias("pathless"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.unionByName(heads, allowMissingColumns=True).withColumns({"own": F.floor(F.max("cut").over(so_far) / CHUNK), "pathless": F.max("pathless").over(so_far)})
+    rows = rows.withColumn("before", F.lag("own").over(order)).where("NOT head AND NOT pathless")
+    rows = rows.withColumn("chunk", F.explode(F.when((F.col("before") < F.col("own")) & ~F.col("apart"), F.array("own", "before")).otherwise(F.array("own"))))
     part = lambda c: F.coalesce(F.transform("c", lambda x: x[c]), F.array().cast(f"array<{'string' if c == 'edge_id' else 'double'}>")).alias(c)
     code = F.coalesce(F.transform("c", lambda x: F.xxhash64(x["edge_id"])), F.array().cast("array<long>")).alias("code")
     rows = rows.select("pass_id", "chunk", (F.col("own") == F.col("chunk")).alias("mine"), "obs", "x", "y", code, *(part(c) for c in ("edge_id", "s", "t", "bearing", "emission")))

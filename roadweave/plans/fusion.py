@@ -22,7 +22,7 @@ def observations(found: DataFrame, log: DataFrame, edges: DataFrame, rig: Rig |
     near = matching.candidates(at, graph.segments(edges))
     path = matching.matched(at, near).select("obs", "edge_id", F.col("s").alias("ego_s"), F.col("t").alias("ego_t"), "bearing")
     lengths = edges.select("edge_id", "length_m")
-    met = posed.join(path, "obs").join(lengths, "edge_id", "left").withColumn("length_m", F.coalesce("length_m", F.lit(100.0)))
+    met = posed.join(path.hint("merge"), "obs").join(lengths, "edge_id", "left").withColumn("length_m", F.coalesce("length_m", F.lit(100.0)))
     c = F.col
     placed = obstacle(c("ego_s"), c("ego_t"), c("ego_heading"), c("bearing"), c("X"), c("Y"), c("var_xx"), c("var_yy"), c("cov_xy"), c("length_m"))
     frame = [k for k in ("frame_idx",) if k in found.columns]

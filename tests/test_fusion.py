@@ -286,3 +286,89 @@ def widened(ledger):
 @pytest.mark.parametrize("raw,seconds", [("12.5", 12.5), ("01-02-03-500000", 3723.5), ("x", 0.0)])
 def test_clock(spark, raw, seconds):
     assert one(spark, c=gps.clock(F.lit(raw))).c == seconds
+
+
+def test_poses_by_slices(spark, monkeypatch):
+    """A drive is dealt over tasks in slices, and gaps of many slices, both ends, equal instants and a drive without a name stay right."""
+    times = sorted({*(k / 2 for k in range(60)), *(200 + k / 4 for k in range(40)), 400.0})
+    rng = np.random.default_rng(7)
+    fixes = [(seq, float(t), float(rng.normal()), float(rng.normal()), 9.0, float(20 * k % 360)) for seq in ("a", None) for k, t in enumerate(times)]
+    log = spark.createDataFrame(fixes, "seq string, timestamp double, x double, y double, speed double, heading double")
+    asked = [(seq, i, float(t)) for seq in ("a", None, "b") for i, t in enumerate([-90.0, -0.5, 0.0, 3.9, 4.0, 4.1, 29.5, 30.0, 100.0, 199.5, 203.3, 209.75, 300.0, 399.5, 400.0, 400.5, 999.0])]
+    asked = spark.createDataFrame(asked, "seq string, i int, frame_ts double")
+    monkeypatch.setattr(gps, "SLICE_S", 4.0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = gps.poses(asked, log).select("*", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 51 and len({r.task for r in rows if r.seq == "a"}) > 1
+    for r in rows:
+        own = [f for f in fixes if f[0] == r.seq and r.seq != "b"]
+        assert r.gps_valid == (bool(own) and min((abs(f[1] - r.frame_ts) for f in own)) <= 1 and 0 <= r.frame_ts <= 400)
+        if own:
+            at, heading = [f[1] for f in own], np.unwrap([f[5] for f in own], period=360)
+            assert abs(r.ego_x - np.interp(r.frame_ts, at, [f[2] for f in own])) < 1e-9 and abs(r.ego_y - np.interp(r.frame_ts, at, [f[3] for f in own])) < 1e-9
+            assert abs((r.ego_heading - np.interp(r.frame_ts, at, heading) + 180) % 360 - 180) < 1e-9
+        else:
+            assert r.ego_x is None
+
+
+def test_cuts_are_found_over_slices(spark, monkeypatch):
+    nodes, edges = graph.grid(spark, (0.0, 0.0, 200.0, 200.0))
+    rng = np.random.default_rng(5)
+    rows = [(p, f"{1000 * p + k:06d}", float(6 * k % 200 + rng.normal(0, 4)), float(100 * (k // 34 % 3) + rng.normal(0, 6)), float(rng.choice([80.0, 95.0, 270.0]))) for p in range(2) for k in range(150)]
+    poses = spark.createDataFrame(rows, "pass_id int, obs string, x double, y double, heading double")
+    found = matching.candidates(poses, graph.segments(edges)).cache()
+    path = lambda: sorted(map(tuple, matching.matched(poses, found).collect()))
+    whole = path()
+    monkeypatch.setattr(matching, "CHUNK", 8)
+    monkeypatch.setattr(matching, "SLICE", 3)
+    assert path() == whole and len(whole) == 300
+
+
+def test_poses_are_not_broadcast(spark):
+    """Stored poses compress well, so that their files look small enough to be sent to all tasks, by the driver's memory."""
+    _, edges, log, seen = _world(spark, "first", 42)
+    poses = log.select(F.monotonically_increasing_id().alias("obs"), "x", "y", "heading")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(matching.candidates(poses, graph.segments(edges)))
+    joins = [line for line in plan(fusion.observations(seen, log, edges)).splitlines() if "Join" in line and "[obs#" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_passes_without_a_single_candidate_are_cut(spark, monkeypatch):
+    """Both directions of a road are candidates of each pose, and poses far apart share none: pieces, not a whole pass, go to a task."""
+    nodes, edges = graph.grid(spark, (0.0, 0.0, 400.0, 400.0), 5)
+    rng = np.random.default_rng(9)
+    rows = [(p, 1000 * p + k, float(30 + 40 * (k % 4) / 4 + rng.normal(0, 3)), float(100 * (k // 4 % 5) + (50 if k % 11 == 5 else rng.normal(0, 6))), 0.0) for p in range(3) for k in range(120)]
+    rows[240] = (2, 2000, 50.0, 50.0, 0.0)  # a first step without candidates: no path
+    poses = spark.createDataFrame(rows, "pass_id int, obs int, x double, y double, heading double")
+    found = matching.candidates(poses, graph.segments(edges), gated=False).cache()
+    sizes = found.groupBy("obs").count()
+    assert not sizes.where("count = 1").count() and 300 < sizes.count() < 359
+    sent = []
+    by = {}
+    for r in found.collect():
+        by.setdefault(r.obs, []).append((r["rank"], r.edge_id, r.s))
+    want = []
+    for p in range(2):
+        own = [r for r in rows if r[0] == p]
+        held = [sorted(by.get(r[1], [])) for r in own]
+        emissions = {(r.obs, r.edge_id): r.emission for r in found.collect()}
+        steps = [(np.array([e for _, e, _ in c], object), np.array([s for *_, s in c]), np.array([emissions[r[1], e] for _, e, _ in c]), r[2], r[3]) for r, c in zip(own, held, strict=True)]
+        last = None
+        for r, c, k in zip(own, held, matching.decode(steps), strict=True):
+            last = c or last
+            want.append((p, r[1], last[k][1]))
+    apply = type(poses.groupBy("obs")).applyInPandas
+    monkeypatch.setattr(type(poses.groupBy("obs")), "applyInPandas", lambda self, f, schema: sent.append(self.count()) or apply(self, f, schema))
+    path = lambda: sorted(map(tuple, matching.matched(poses, found).collect()))
+    first = path()
+    assert [r[:3] for r in first] == want
+    monkeypatch.setattr(matching, "CHUNK", 8)
+    for size in (8192, 50):
+        monkeypatch.setattr(matching, "SLICE", size)
+        assert path() == first
+    assert len(first) == 240
+    assert sent[1].agg(F.max("count")).first()[0] <= 24
